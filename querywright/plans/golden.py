@@ -1,10 +1,10 @@
 """The golden business questions, each as one declarative plan over the star schema."""
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from querywright.plans.fixtures import PROMISED_DAYS, item_level, order_level, places
-from querywright.scale import small_side, top_k
+from querywright.scale import sum_by_dimension, top_k
 
 ANCHOR_DATE = "1998-08-15"
 
@@ -36,9 +36,25 @@ def spend_per_customer(t):
         F.count(F.lit(1)).alias("order_count"), exact_sum("o_totalprice").alias("total_spent"))
 
 
+MONEY = "decimal(18,2)"
+
+
+def between(col, lo, hi):
+    """Half-open timestamp range in the form the parquet scan can push down."""
+    return (F.col(col) >= F.lit(lo).cast("timestamp_ntz")) & (F.col(col) < F.lit(hi).cast("timestamp_ntz"))
+
+
+def by_product(t, lines, group, **sums):
+    return sum_by_dimension(lines, "l_partkey", t.part, "p_partkey", group, sums)
+
+
+def by_customer(t, rows, group, **sums):
+    return sum_by_dimension(rows, "o_custkey", places(t), "c_custkey", group, sums, sized_by=t.customer)
+
+
 def g01(t):
-    return (item_level(t, "product_category_name", "freight_value").groupBy("product_category_name")
-            .agg(F.round(F.avg("freight_value"), 4).alias("avg_freight"))
+    sums = by_product(t, t.lineitem, [F.col("p_type").alias("product_category_name")], total=freight(), n=F.lit(1))
+    return (sums.select("product_category_name", F.round(F.col("total").cast("double") / F.col("n"), 4).alias("avg_freight"))
             .orderBy(F.desc("avg_freight"), "product_category_name").limit(10))
 
 
@@ -54,8 +70,9 @@ def g03(t):
 
 
 def g04(t):
-    return (item_level(t, "product_category_name", "delivery_days").filter(F.col("delivery_days").isNotNull())
-            .groupBy("product_category_name").agg(F.round(F.avg("delivery_days"), 6).alias("avg_delivery_days"))
+    sums = by_product(t, lines_with_orders(t).filter(ship_days().isNotNull()),
+                      [F.col("p_type").alias("product_category_name")], total=ship_days().cast("long"), n=F.lit(1))
+    return (sums.select("product_category_name", F.round(F.col("total") / F.col("n"), 6).alias("avg_delivery_days"))
             .orderBy("avg_delivery_days", "product_category_name"))
 
 
@@ -86,7 +103,7 @@ def g09(t):
 
 
 def g10(t):
-    has_lines = t.orders.filter(F.year("o_orderdate") == 1997).join(
+    has_lines = t.orders.filter(between("o_orderdate", "1997-01-01", "1998-01-01")).join(
         t.lineitem, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
     return (has_lines.groupBy(ntz(F.date_trunc("month", "o_orderdate")).alias("month"))
             .agg(F.count(F.lit(1)).alias("order_count")).orderBy("month"))
@@ -100,9 +117,9 @@ def g11(t):
 
 
 def g12(t):
-    return (t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-            .groupBy(F.col("n_name").alias("customer_city")).agg(F.count(F.lit(1)).alias("customer_count"))
-            .orderBy(F.desc("customer_count"), "customer_city").limit(1))
+    counts = sum_by_dimension(t.customer, "c_nationkey", t.nation, "n_nationkey",
+                              [F.col("n_name").alias("customer_city")], {"customer_count": F.lit(1)})
+    return counts.orderBy(F.desc("customer_count"), "customer_city").limit(1)
 
 
 def g13(t):
@@ -111,9 +128,9 @@ def g13(t):
 
 
 def g14(t):
-    revenue = F.sum(F.col("l_extendedprice").cast("decimal(14,2)") + freight()).cast("double")
-    return (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-            .groupBy(F.col("p_type").alias("product_category_name")).agg(revenue.alias("total_revenue"))
+    revenue = F.col("l_extendedprice").cast("decimal(14,2)") + freight()
+    sums = by_product(t, t.lineitem, [F.col("p_type").alias("product_category_name")], total_revenue=revenue)
+    return (sums.withColumn("total_revenue", F.col("total_revenue").cast("double"))
             .orderBy(F.desc("total_revenue"), "product_category_name").limit(5))
 
 
@@ -124,8 +141,9 @@ def g15(t):
 
 
 def g16(t):
-    return (item_level(t, "customer_state", "delivery_days").filter(F.col("delivery_days").isNotNull())
-            .groupBy("customer_state").agg(F.round(F.avg("delivery_days"), 6).alias("avg_delivery_days"))
+    sums = by_customer(t, lines_with_orders(t).filter(ship_days().isNotNull()),
+                       [F.col("state").alias("customer_state")], total=ship_days().cast("long"), n=F.lit(1))
+    return (sums.select("customer_state", F.round(F.col("total") / F.col("n"), 6).alias("avg_delivery_days"))
             .orderBy("avg_delivery_days", "customer_state"))
 
 
@@ -137,20 +155,20 @@ def g17(t):
 
 def g18(t):
     y, m = F.year("o_orderdate").cast("long"), F.month("o_orderdate").cast("long")
-    return (t.orders.filter(F.year("o_orderdate").isin(1997, 1998)).groupBy(y.alias("year"), m.alias("month"))
+    return (t.orders.filter(between("o_orderdate", "1997-01-01", "1999-01-01")).groupBy(y.alias("year"), m.alias("month"))
             .agg(F.count(F.lit(1)).alias("order_count")).orderBy("year", "month"))
 
 
 def g19(t):
-    sold = t.lineitem.filter((F.col("l_returnflag") == "R") & (F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
-                             & (F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz")))
+    sold = t.lineitem.filter((F.col("l_returnflag") == "R") & between("l_shipdate", "1998-01-01", "1999-01-01"))
     return (t.part.join(sold, F.col("p_partkey") == F.col("l_partkey"), "left_anti")
             .select(F.col("p_partkey").alias("product_id"), F.col("p_type").alias("product_category_name")))
 
 
 def g20(t):
-    return (t.orders.filter(F.col("o_orderstatus") == "F").join(places(t), F.col("o_custkey") == F.col("c_custkey"))
-            .groupBy(F.col("state").alias("customer_state")).agg(exact_sum("o_totalprice").alias("total_revenue"))
+    sums = by_customer(t, t.orders.filter(F.col("o_orderstatus") == "F"), [F.col("state").alias("customer_state")],
+                       total_revenue=F.col("o_totalprice").cast(MONEY))
+    return (sums.withColumn("total_revenue", F.col("total_revenue").cast("double"))
             .orderBy(F.desc("total_revenue"), "customer_state"))
 
 
@@ -161,49 +179,47 @@ def g21(t):
 
 
 def g22(t):
-    product = F.col("l_extendedprice").cast("decimal(12,2)") * freight()
-    return (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-            .groupBy(F.col("p_type").alias("product_category_name"))
-            .agg(F.sum(product.cast("decimal(28,6)")).cast("double").alias("total_revenue"))
+    product = (F.col("l_extendedprice").cast("decimal(12,2)") * freight()).cast("decimal(28,6)")
+    sums = by_product(t, t.lineitem, [F.col("p_type").alias("product_category_name")], total_revenue=product)
+    return (sums.withColumn("total_revenue", F.col("total_revenue").cast("double"))
             .orderBy(F.desc("total_revenue"), "product_category_name"))
 
 
 def g23(t):
-    return (lines_with_orders(t).filter(F.year("o_orderdate") == 1997)
+    return (lines_with_orders(t).filter(between("o_orderdate", "1997-01-01", "1998-01-01"))
             .groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month"))
             .agg(F.count(F.lit(1)).alias("order_count"), exact_sum("l_extendedprice").alias("total_value"))
             .orderBy("month"))
 
 
-def _between(col, lo, hi):
-    return (F.col(col) >= F.lit(lo).cast("timestamp_ntz")) & (F.col(col) < F.lit(hi).cast("timestamp_ntz"))
-
-
 def g24(t):
-    return t.orders.filter(_between("o_orderdate", "1998-08-01", "1998-09-01")).agg(
+    return t.orders.filter(between("o_orderdate", "1998-08-01", "1998-09-01")).agg(
         exact_sum("o_totalprice").alias("total_sales"))
 
 
 def g25(t):
     month = ntz(F.date_trunc("month", "o_orderdate"))
-    return t.orders.filter(month == F.lit("1998-08-01").cast("timestamp_ntz")).agg(
+    return t.orders.filter(between("o_orderdate", "1998-08-01", "1998-09-01")  # implied range, pushed to the scan
+                           & (month == F.lit("1998-08-01").cast("timestamp_ntz"))).agg(
         exact_sum("o_totalprice").alias("total_sales"))
 
 
 def g26(t, anchor=ANCHOR_DATE):
     start = ntz(F.date_trunc("quarter", F.lit(anchor).cast("timestamp_ntz")))
-    revenue = F.sum((F.col("l_quantity") * F.col("p_retailprice")).cast("decimal(18,2)")).cast("double")
-    product_revenue = (lines_with_orders(t).filter(F.col("o_orderdate") >= start)
-                       .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-                       .groupBy(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"))
-                       .agg(revenue.alias("revenue")))
+    quantities = (lines_with_orders(t).filter(F.col("o_orderdate") >= start).groupBy("l_partkey")
+                  .agg(F.sum(F.col("l_quantity").cast("decimal(12,2)")).alias("quantity")))
+    price = F.col("p_retailprice").cast("decimal(12,2)")
+    product_revenue = quantities.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"),
+        (F.col("quantity") * price).cast("double").alias("revenue"))
     return product_revenue.orderBy(F.desc("revenue"), "product_id").limit(5)
 
 
 def g27(t):
-    return (lines_with_orders(t).filter(F.year("o_orderdate") == 1998)
-            .join(places(t), F.col("o_custkey") == F.col("c_custkey"))
-            .groupBy(F.col("city").alias("customer_city")).agg(exact_sum("l_extendedprice").alias("total_value"))
+    rows = lines_with_orders(t).filter(between("o_orderdate", "1998-01-01", "1999-01-01"))
+    sums = by_customer(t, rows, [F.col("city").alias("customer_city")],
+                       total_value=F.col("l_extendedprice").cast(MONEY))
+    return (sums.withColumn("total_value", F.col("total_value").cast("double"))
             .orderBy(F.desc("total_value"), "customer_city").limit(3))
 
 
@@ -255,10 +271,11 @@ def g33(t):
 
 
 def g34(t):
-    return (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-            .groupBy(F.col("p_brand").alias("product_brand"))
-            .agg(exact_sum("l_extendedprice").alias("total_revenue"),
-                 F.round(F.avg("l_extendedprice"), 4).alias("avg_value"), F.count(F.lit(1)).alias("order_count"))
+    sums = by_product(t, t.lineitem, [F.col("p_brand").alias("product_brand")],
+                      total_revenue=F.col("l_extendedprice").cast(MONEY), order_count=F.lit(1))
+    total = F.col("total_revenue").cast("double")
+    return (sums.select("product_brand", total.alias("total_revenue"),
+                        F.round(total / F.col("order_count"), 4).alias("avg_value"), "order_count")
             .filter((F.col("avg_value") > 50) & (F.col("order_count") >= 100))
             .orderBy(F.desc("total_revenue"), "product_brand").limit(3))
 
@@ -273,8 +290,8 @@ def g36(t):
 
 
 def g37(t):
-    return (t.orders.join(places(t), F.col("o_custkey") == F.col("c_custkey"))
-            .groupBy(F.col("state").alias("region")).agg(exact_sum("o_totalprice").alias("total_sales")))
+    sums = by_customer(t, t.orders, [F.col("state").alias("region")], total_sales=F.col("o_totalprice").cast(MONEY))
+    return sums.withColumn("total_sales", F.col("total_sales").cast("double"))
 
 
 def g37_top_customer(t):

@@ -30,7 +30,7 @@ def setting(df: DataFrame, key: str) -> int:
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan (no job is run)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def fits(df: DataFrame, key: str = SINGLE_TASK_BYTES) -> bool:
@@ -52,6 +52,22 @@ def checked_broadcast(df: DataFrame, key: str = BROADCAST_BYTES, row_bytes: int
     return df
 
 
+def sum_by_dimension(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str, group, sums: dict,
+                     sized_by: DataFrame | None = None) -> DataFrame:
+    """Sums of a fact table per attribute of a dimension.
+
+    A dimension within the broadcast limit is joined in the scan stage. A larger one is joined
+    after the fact rows are summed per key, so that only one row per key and task is shuffled and
+    a hot key weighs no more than any other. ``sized_by`` is the table that bounds the dimension
+    when it is itself a join."""
+    if fits(dim if sized_by is None else sized_by, BROADCAST_BYTES):
+        joined = fact.join(F.broadcast(dim), F.col(fact_key) == F.col(dim_key))
+        return joined.groupBy(*group).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    partial = fact.groupBy(fact_key).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    return (partial.join(dim, F.col(fact_key) == F.col(dim_key)).groupBy(*group)
+            .agg(*[F.sum(n).alias(n) for n in sums]))
+
+
 def top_k(df: DataFrame, keys, order, k: int, rank: str = "rank", keep_rank: bool = True) -> DataFrame:
     """First ``k`` rows per key. ``order`` must be total so that the result is repeatable."""
     w = Window.partitionBy(*keys).orderBy(*order)
