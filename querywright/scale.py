@@ -99,24 +99,30 @@ def range_bucket(df: DataFrame, value: str) -> Column:
 def cumulative_counts(df: DataFrame, keys, value: str, distributed: bool | None = None) -> DataFrame:
     """(keys, value, n, before): rows per value and rows of the key with a smaller value.
 
-    Rows are counted per value before anything is ordered, so copies of one value cost one row.
-    Beyond the single-task limit a running total is kept per range bucket and shifted by the
-    totals of the buckets before it."""
+    Rows are counted per value before anything is ordered, so copies of one value cost one row."""
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
     if distributed is None:
         distributed = not fits(df.select(*keys, value))
+    return running_totals(counts, keys, value, distributed)
+
+
+def running_totals(counts: DataFrame, keys, value: str, distributed: bool) -> DataFrame:
+    """Add ``before``: the sum of ``n`` over smaller values of the key.
+
+    In the distributed plan a running total is kept per range bucket and shifted by the totals of
+    the buckets before it, so no task orders a whole key."""
     prior = (Window.unboundedPreceding, -1)
     if not distributed:
         w = Window.partitionBy(*keys).orderBy(value).rowsBetween(*prior)
         return counts.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0)).cast("long"))
-    counts = counts.withColumn("_b", range_bucket(df.select(value), value))
+    counts = counts.withColumn("_b", range_bucket(counts, value))
     totals = counts.groupBy(*keys, "_b").agg(F.sum("n").alias("_bn"))
     wt = Window.partitionBy(*keys).orderBy("_b").rowsBetween(*prior)
     totals = totals.select(*keys, "_b", F.coalesce(F.sum("_bn").over(wt), F.lit(0)).alias("_shift"))
     wb = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(*prior)
     return (counts.withColumn("_in", F.coalesce(F.sum("n").over(wb), F.lit(0)))
             .join(totals, [*keys, "_b"])
-            .select(*keys, value, "n", (F.col("_in") + F.col("_shift")).cast("long").alias("before")))
+            .withColumn("before", (F.col("_in") + F.col("_shift")).cast("long")).drop("_in", "_shift", "_b"))
 
 
 def quantiles(df: DataFrame, keys, value: str, probs: dict, distributed: bool | None = None) -> DataFrame:
