@@ -40,9 +40,6 @@ def check_statement(spark: SparkSession, sql: str | None) -> str | None:
     return f"not read-only: {', '.join(refused)}" if refused else None
 
 
-STATUS = "sql string, success boolean, row_count long, error string"
-
-
 def run_readonly(spark: SparkSession, sql: str | None, count: bool = True) -> tuple:
     """(status row, result or None). Nothing is raised: empty, unsafe and failing statements come
     back as a status row. The result stays a lazy DataFrame."""
@@ -53,7 +50,10 @@ def run_readonly(spark: SparkSession, sql: str | None, count: bool = True) -> tu
             rows = result.count() if count else None
         except Exception as err:
             error, result = str(err).splitlines()[0], None
-    return spark.createDataFrame([(sql, error is None, rows, error)], STATUS), result
+    status = spark.range(0, 1, 1, 1).select(
+        F.lit(sql).cast("string").alias("sql"), F.lit(error is None).alias("success"),
+        F.lit(rows).cast("long").alias("row_count"), F.lit(error).cast("string").alias("error"))
+    return status, result
 
 
 def preview(df: DataFrame, n: int = 100) -> DataFrame:
