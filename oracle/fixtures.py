@@ -112,7 +112,7 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 DIRTY = f"{_DIRTY} UNION ALL {_DIRTY} WHERE d.doc_id % 10 = 0"
 
 COLUMNS = """
-SELECT lower(replace(p_brand, '#', '') || '_' || p_type) AS table_name,
+SELECT 't' || CAST(p_partkey // 40 AS VARCHAR) || '_' || lower(p_type) AS table_name,
        replace(p_name, ' ', '_') || '_' || CAST(p_partkey AS VARCHAR) AS column_name, p_partkey AS position,
        CASE p_size % 5 WHEN 0 THEN 'INTEGER' WHEN 1 THEN 'VARCHAR' WHEN 2 THEN 'DECIMAL' WHEN 3 THEN 'TIMESTAMP' ELSE 'TEXT' END AS data_type,
        p_size % 2 = 0 AS nullable, p_size = 1 AS is_primary_key
@@ -127,6 +127,8 @@ FROM (SELECT DISTINCT l_partkey, head FROM lineitem
 JOIN ({COLUMNS}) a ON a.position = e.l_partkey JOIN ({COLUMNS}) b ON b.position = e.head
 """
 
+TERMS = "SELECT replace(p_name, ' ', '_') AS query FROM part UNION SELECT p_type FROM part"
+
 QUESTIONS = """
 SELECT o_orderkey * 2 AS qid,
        replace(CASE o_orderkey % 8
@@ -148,7 +150,7 @@ def with_(names: str, body: str) -> str:
     """Prefix a statement with the named fixtures."""
     known = {"item_level": ITEM, "order_level": ORDER, "eval_rows": EVAL, "sql_pairs": PAIRS,
              "responses": RESPONSES, "qa_pairs": QA, "raw_pairs": RAW_PAIRS, "dirty_docs": DIRTY,
-             "columns_catalog": COLUMNS, "edges_catalog": EDGES, "questions": QUESTIONS}
+             "columns_catalog": COLUMNS, "edges_catalog": EDGES, "questions": QUESTIONS, "search_terms": TERMS}
     ctes = ", ".join(f"{n} AS ({known[n]})" for n in names.split())
     body = body.strip()
     if body[:5].upper() == "WITH ":

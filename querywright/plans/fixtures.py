@@ -1,6 +1,6 @@
 """Inputs derived from the given tables. Each is a plain DataFrame plan over whole tables."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from querywright.sources.tables import Tables
@@ -199,10 +199,10 @@ def dirty_docs(t: Tables) -> DataFrame:
 
 
 def columns_catalog(t: Tables) -> DataFrame:
-    """A catalog to search: every part is a column of the table of its brand and type. It has as
-    many rows as ``part``, so catalog jobs grow with the data."""
-    table = F.lower(F.concat_ws("_", F.replace("p_brand", F.lit("#"), F.lit("")), F.col("p_type")))
+    """A catalog to search: every part is a column, and a table holds the parts of one type among
+    forty neighbours. It grows with ``part`` while a table never exceeds forty columns."""
     kinds = F.array(*[F.lit(x) for x in ("INTEGER", "VARCHAR", "DECIMAL", "TIMESTAMP", "TEXT")])
+    table = F.concat(F.lit("t"), F.floor(F.col("p_partkey") / 40).cast("string"), F.lit("_"), F.lower("p_type"))
     name = F.concat(F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("_"), F.col("p_partkey").cast("string"))
     return t.part.select(
         table.alias("table_name"), name.alias("column_name"), F.col("p_partkey").alias("position"),
@@ -243,3 +243,9 @@ def user_questions(t: Tables) -> DataFrame:
     turns = t.conversations.filter(F.col("role") == "user").select(
         ((F.col("conv_id") * 1000 + F.col("turn")) * 2 + 1).alias("qid"), F.col("text").alias("question"))
     return business.unionByName(turns)
+
+
+def search_terms(t: Tables) -> DataFrame:
+    """Search strings for the catalog: the product names and types in use."""
+    names = t.part.select(F.replace("p_name", F.lit(" "), F.lit("_")).alias("query"))
+    return names.unionByName(t.part.select(F.col("p_type").alias("query"))).distinct()
