@@ -1,5 +1,8 @@
 """Column functions over SQL statements and questions. All stay inside the JVM."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,7 +47,7 @@ def contains_any(c, words, word: bool = False) -> Column:
     """Substring test against a list; with ``word`` only whole words count."""
     if word:
         return col(c).rlike(r"\b(" + "|".join(words) + r")\b")
-    return col(c).rlike("|".join(words))
+    return reduce(or_, (col(c).contains(w) for w in words))
 
 
 def count_contained(c, words) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from querywright.functions.sqltext import words
-from querywright.scale import checked_broadcast, top_k
+from querywright.scale import broadcast_if, few_rows, top_k
 
 GRAM = 3
 
@@ -126,7 +126,7 @@ def contains_join(needles: DataFrame, needle: str, hay: DataFrame, texts) -> Dat
         return F.transform(starts, lambda i: F.substring(F.col("_text"), i, F.lit(size)))
 
     h = h.withColumn("_key", F.explode(F.array_distinct(F.concat(*[grams(g) for g in range(1, GRAM + 1)]))))
-    return h.join(checked_broadcast(n), "_key").filter(F.col("_text").contains(F.col("_needle"))).drop(
+    return h.join(broadcast_if(n, few_rows(needles)), "_key").filter(F.col("_text").contains(F.col("_needle"))).drop(
         "_key", "_text", "_needle")
 
 

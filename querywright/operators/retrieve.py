@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from querywright.functions.sqltext import contains_any, text, tokens, word_set, words
-from querywright.scale import checked_broadcast, estimated_bytes, top_k
+from querywright.scale import broadcast_if, estimated_bytes, few_rows, top_k
 
 K1, B, EPSILON = 1.5, 0.75, 0.25
 SCORE_DIGITS = 9  # scores equal to this many digits rank by id
@@ -35,22 +35,28 @@ def term_list(c, tokenizer: str = "whitespace") -> Column:
 
 
 def _tokenised(docs: DataFrame, tokenizer: str) -> DataFrame:
-    return docs.select("id", term_list("content", tokenizer).alias("_tok")).withColumn("dl", F.size("_tok").cast("long"))
+    """Token lists partitioned by document. The text is shuffled before it is split (it is smaller
+    than its tokens), once for all uses in a plan; counts per document then stay in place."""
+    rows = docs.select("id", "content").repartition("id")
+    return rows.select("id", term_list("content", tokenizer).alias("_tok")).withColumn("dl", F.size("_tok").cast("long"))
 
 
-def postings(docs: DataFrame, vocabulary: DataFrame | None = None, tokenizer: str = "whitespace") -> DataFrame:
-    """(id, dl, term, f). With a vocabulary only its terms are kept, before anything is shuffled.
-    The rows stay partitioned by document, so scores per document need no further shuffle."""
-    rows = _tokenised(docs, tokenizer).select("id", "dl", F.explode("_tok").alias("term"))
+def postings(docs: DataFrame, vocabulary: DataFrame | None = None, small: bool = False,
+             tokenizer: str = "whitespace") -> DataFrame:
+    """(id, dl, term, f), partitioned by document. With a vocabulary only its terms are kept; a
+    ``small`` one is broadcast and nothing further is shuffled."""
+    rows = _tokenised(docs, tokenizer).select("id", "dl", F.explode_outer("_tok").alias("term"))
     if vocabulary is not None:
-        rows = rows.join(checked_broadcast(vocabulary), "term", "left_semi")
-    return rows.repartition("id").groupBy("id", "dl", "term").agg(F.count(F.lit(1)).alias("f"))
+        rows = rows.join(broadcast_if(vocabulary, small), "term", "left_semi")
+    return rows.filter(F.col("term").isNotNull()).groupBy("id", "dl", "term").agg(F.count(F.lit(1)).alias("f"))
 
 
 def term_stats(docs: DataFrame, tokenizer: str = "whitespace") -> DataFrame:
     """(term, df) over the whole corpus; each document counts a term once before the shuffle."""
-    return (_tokenised(docs, tokenizer).select(F.explode(F.array_distinct("_tok")).alias("term"))
-            .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    # the outer form keeps Catalyst from testing the token list a second time in the scan, which
+    # would also stop the uses of the shuffled text from sharing it
+    return (_tokenised(docs, tokenizer).select(F.explode_outer(F.array_distinct("_tok")).alias("term"))
+            .filter(F.col("term").isNotNull()).groupBy("term").agg(F.count(F.lit(1)).alias("df")))
 
 
 def corpus_stats(docs: DataFrame, tokenizer: str = "whitespace") -> DataFrame:
@@ -70,14 +76,15 @@ def bm25_topk(docs: DataFrame, queries: DataFrame, k: int, tokenizer: str = "whi
     floor = idf.agg(F.avg("idf") * EPSILON).scalar()
     asked = queries.select("qid", F.explode(term_list("text", tokenizer)).alias("term")).groupBy("qid", "term").agg(
         F.count(F.lit(1)).alias("qtf"))
+    small = few_rows(asked)  # bounds the vocabulary and the weights too
     vocabulary = asked.select("term").distinct()
-    known = idf.join(checked_broadcast(vocabulary), "term").withColumn("_floor", floor)
+    known = idf.join(broadcast_if(vocabulary, small), "term").withColumn("_floor", floor)
     weights = asked.join(known, "term").select(
         "qid", "term", (F.col("qtf") * F.when(F.col("idf") < 0, F.col("_floor")).otherwise(F.col("idf"))).alias("w"))
-    hits = postings(docs, vocabulary, tokenizer).withColumn("_s", stats)
+    hits = postings(docs, vocabulary, small, tokenizer).withColumn("_s", stats)
     norm = F.col("f") + K1 * (1 - B + B * F.col("dl") / F.col("_s.avgdl"))
     hits = hits.select("id", "term", (F.col("f") * (K1 + 1) / norm).alias("gain"))
-    scores = hits.join(checked_broadcast(weights), "term").groupBy("qid", "id").agg(
+    scores = hits.join(broadcast_if(weights, small), "term").groupBy("qid", "id").agg(
         F.round(F.sum(F.col("w") * F.col("gain")), SCORE_DIGITS).alias("score"))
     return top_k(scores.filter(F.col("score") > 0), ["qid"], [F.desc("score"), F.asc("id")], k)
 
@@ -154,9 +161,9 @@ def fuse(sparse: DataFrame, dense: DataFrame, alpha: float = 0.5) -> DataFrame:
 
 def rerank(results: DataFrame, docs: DataFrame, queries: DataFrame, k: int, rich: bool = True) -> DataFrame:
     """Boost word overlap, tables and rich metadata; best k with their documents."""
-    with_docs = docs.drop("embedding").join(checked_broadcast(results), "id")
-    asked = queries.select("qid", word_set(F.lower("text")).alias("_q"))
-    rows = with_docs.join(asked, "qid")
+    small = few_rows(queries.select("qid"), row_bytes=64 * 4 * k)  # at most 4k candidates a query
+    with_docs = docs.drop("embedding").join(broadcast_if(results, small), "id")
+    rows = with_docs.join(queries.select("qid", word_set(F.lower("text")).alias("_q")), "qid")
     overlap = F.size(F.array_intersect("_q", word_set(F.lower("content"))))
     boost = (1 + 0.1 * overlap) * F.when(F.col("type") == "table", 1.15).otherwise(1.0) * (1.05 if rich else 1.0)
     rows = rows.withColumn("score", F.round(F.col("score") * boost, SCORE_DIGITS)).drop("_q")
@@ -195,9 +202,10 @@ def cosine(a, b) -> Column:
 def relevance(contexts: DataFrame, docs: DataFrame, queries: DataFrame) -> DataFrame:
     """Relevance of each query's context: words .4, cosine .4 (words again without vectors),
     coverage .2. An empty query or context scores 0."""
-    vectors = docs.join(checked_broadcast(contexts.select("id").filter(F.col("id").isNotNull()).distinct()), "id").select(
-        "id", F.col("embedding").alias("_v"))
-    rows = contexts.join(vectors, "id", "left").join(queries.select("qid", F.col("embedding").alias("_qv")), "qid")
+    needed = contexts.select("qid", "id").filter(F.col("id").isNotNull())
+    small = few_rows(queries.select("qid"))  # one context a query
+    vectors = docs.select("id", F.col("embedding").alias("_v")).join(broadcast_if(needed, small), "id").select("qid", "_v")
+    rows = contexts.join(vectors, "qid", "left").join(queries.select("qid", F.col("embedding").alias("_qv")), "qid")
     q = word_set(F.lower("text"))
     lexical = F.coalesce(F.try_divide(F.size(F.array_intersect(q, word_set(F.lower("content")))), F.size(q)), F.lit(0.0))
     rows = rows.withColumn("lexical", lexical)

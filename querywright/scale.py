@@ -37,19 +37,30 @@ def fits(df: DataFrame, key: str = SINGLE_TASK_BYTES) -> bool:
     return estimated_bytes(df) <= setting(df, key)
 
 
-def small_side(df: DataFrame) -> DataFrame:
-    """Mark ``df`` for broadcast when its estimate allows it; otherwise leave the join to
-    Catalyst and AQE (sort-merge with skew splitting)."""
-    return F.broadcast(df) if fits(df, BROADCAST_BYTES) else df
+def few_rows(df: DataFrame, row_bytes: int = 64) -> bool:
+    """Whether a frame holds no more rows than the broadcast limit allows. Reading stops at the
+    limit, so the check is cheap on any size."""
+    if fits(df, BROADCAST_BYTES):
+        return True
+    bound = max(1, setting(df, BROADCAST_BYTES) // row_bytes)
+    return df.limit(bound + 1).count() <= bound
 
 
-def checked_broadcast(df: DataFrame, key: str = BROADCAST_BYTES, row_bytes: int = 64) -> DataFrame:
-    """Like ``small_side`` for plans whose estimate is too coarse (joins multiply estimates):
-    counts up to the row bound first, which stops early on large input."""
-    bound = max(1, setting(df, key) // row_bytes)
-    if fits(df, key) or df.limit(bound + 1).count() <= bound:
+def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
+    """Broadcast under a proven bound; otherwise leave the join to Catalyst and AQE."""
+    return F.broadcast(df) if small else df
+
+
+def checked_broadcast(df: DataFrame, row_bytes: int = 64) -> DataFrame:
+    """Broadcast a derived frame after its row count is checked. The rows are fetched by the check
+    (at most the limit) and reused, so the frame is computed once; a larger frame stays a plan."""
+    if fits(df, BROADCAST_BYTES):
         return F.broadcast(df)
-    return df
+    bound = max(1, setting(df, BROADCAST_BYTES) // row_bytes)
+    rows = df.limit(bound + 1).toArrow()
+    if rows.num_rows > bound:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def sum_by_dimension(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str, group, sums: dict,
