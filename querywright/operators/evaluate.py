@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from querywright.functions.sqltext import normalise, referenced_tables, strip, text, tokens, word_set
 from querywright.operators.guard import run_readonly
-from querywright.scale import union_all
+from querywright.scale import spread, union_all
 
 JACCARD_THRESHOLD = 0.7
 BLEU_ORDER = 4
@@ -43,7 +43,7 @@ def _numbered_grams(toks: Column, n: int) -> Column:
 def with_bleu(df: DataFrame, pred: str, truth: str, name: str = "bleu_score") -> DataFrame:
     """Add BLEU-4 (uniform weights, epsilon smoothing, brevity penalty). Each row is scored from its
     own two token arrays: no explode and no shuffle."""
-    staged = df.withColumn("_p", tokens(pred)).withColumn("_t", tokens(truth))
+    staged = spread(df).withColumn("_p", tokens(pred)).withColumn("_t", tokens(truth))
     staged = staged.withColumn("_np", F.size("_p")).withColumn("_nt", F.size("_t"))
     for n in range(1, BLEU_ORDER + 1):
         staged = staged.withColumn(f"_m{n}", F.size(F.array_intersect(
@@ -154,4 +154,4 @@ def timed_map(df: DataFrame, fn, input_col: str, output_col: str = "output") ->
                     times.append(float("inf"))
             yield batch.assign(**{output_col: pd.Series(outputs, index=batch.index, dtype="object"),
                                   "response_time": pd.Series(times, index=batch.index, dtype="float64")})
-    return df.mapInPandas(run, schema)
+    return spread(df).mapInPandas(run, schema)

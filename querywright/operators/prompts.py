@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from querywright.functions import templates as tpl
 from querywright.functions.sqltext import (DEFAULT_CATEGORIES, QUESTION_CATEGORIES, col, contains_any, count_contained,
                                            normalise, occurrences, question_categories, question_type, text)
-from querywright.scale import top_k
+from querywright.scale import spread, top_k
 
 # Word lists and weights of routing and scoring.
 ROUTE_INDICATORS = (
@@ -90,7 +90,7 @@ def with_prompts(questions: DataFrame, schema: dict, strategies=tpl.STRATEGIES,
     """Add ``strategies``: an array of (ordinal, strategy, prompt), one entry per strategy."""
     cells = [F.struct(F.lit(i).alias("ordinal"), F.lit(s).alias("strategy"),
                       get_strategy(s).render(F.col(question), schema).alias("prompt")) for i, s in enumerate(strategies)]
-    return questions.withColumn("strategies", F.array(*cells))
+    return spread(questions).withColumn("strategies", F.array(*cells))
 
 
 def render_prompts(questions: DataFrame, schema: dict, strategies=tpl.STRATEGIES, question: str = "question") -> DataFrame:
