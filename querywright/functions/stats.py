@@ -4,6 +4,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def incomplete_beta(a: float, b: float, x: float) -> float:
@@ -31,14 +32,14 @@ def incomplete_beta(a: float, b: float, x: float) -> float:
     return front * h / a
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def student_p(t: pd.Series, dof: pd.Series) -> pd.Series:
     """Two-sided p of Student's t."""
     return pd.Series([None if pd.isna(x) or pd.isna(v) else incomplete_beta(v / 2, 0.5, v / (v + x * x))
                       for x, v in zip(t, dof)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def normal_p(z: pd.Series) -> pd.Series:
     """Two-sided p of a standard normal z >= 0, at most 1."""
     return pd.Series([None if pd.isna(x) else min(1.0, math.erfc(x / math.sqrt(2))) for x in z], dtype="float64")
