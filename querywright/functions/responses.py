@@ -39,7 +39,7 @@ def field(value: Column, name: str, kind: str) -> Column:
 
 def _select_text(response, stops: str) -> Column:
     found = F.regexp_extract(col(response), rf"(?is)(SELECT\s+.*?(?:{stops}|$))", 1)
-    return F.when(found == "", NO_SQL).otherwise(F.regexp_replace(strip(found), ";+$", ""))
+    return F.when(found == "", NO_SQL).otherwise(F.rtrim(strip(found), F.lit(";")))
 
 
 def fallback_sql(response, strategy) -> Column:

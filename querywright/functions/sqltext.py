@@ -27,6 +27,7 @@ QUESTION_CATEGORIES = (
 )
 DEFAULT_CATEGORIES = ("customer_analysis", "product_analysis")
 # Words in any script; a single other character is a token of its own.
+WHITESPACE = " \t\n\x0b\f\r"
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
 
 
@@ -40,7 +41,7 @@ def text(c) -> Column:
 
 def strip(c) -> Column:
     """Both ends without any kind of whitespace."""
-    return F.regexp_replace(col(c), r"^\s+|\s+$", "")
+    return F.btrim(col(c), F.lit(WHITESPACE))
 
 
 def contains_any(c, words, word: bool = False) -> Column:
@@ -62,7 +63,7 @@ def occurrences(c, piece: str) -> Column:
 def normalise(c) -> Column:
     """Upper case, single blanks, no trailing semicolons, no blanks at the ends."""
     flat = F.regexp_replace(F.upper(strip(text(c))), r"\s+", " ")
-    return F.regexp_replace(flat, r"\s*;*$", "")
+    return F.rtrim(F.rtrim(flat, F.lit(";")))
 
 
 def tokens(c) -> Column:
@@ -150,4 +151,4 @@ def plausible_sql(c) -> Column:
 
 
 def tidy_sql(c) -> Column:
-    return F.regexp_replace(F.regexp_replace(strip(c), r"\s+", " "), ";+$", "")
+    return F.rtrim(F.regexp_replace(strip(c), r"\s+", " "), F.lit(";"))

@@ -60,24 +60,24 @@ def context_fields(df: DataFrame) -> DataFrame:
 def checked_pairs(df: DataFrame) -> DataFrame:
     """Every record with ``is_valid``, its ``issues`` and the cleaned fields. A record without a
     required field gets no further checks."""
-    staged = context_fields(df)
+    staged = context_fields(df).withColumn("_q", strip("question"))
+    staged = staged.withColumns({"_len": F.length("_q"), "_sane": plausible_sql("sql")})
     required = F.filter(F.array(*[
         _issue(text(f) == "", f"Missing or empty '{f}' field") for f in ("question", "sql")]), lambda x: x.isNotNull())
     complete = (text("question") != "") & (text("sql") != "")
-    q = strip("question")
-    n = F.length(q)
+    q, n = F.col("_q"), F.col("_len")
     short, long = n < MIN_QUESTION, n > MAX_QUESTION
-    sane = plausible_sql("sql")
+    sane = F.col("_sane")
     later = F.filter(F.array(
         _issue(short, "Question too short (", n.cast("string"), " chars)"),
         _issue(long, "Question too long (", n.cast("string"), " chars)"),
         _issue(~sane, "Invalid SQL syntax")), lambda x: x.isNotNull())
-    valid = complete & ~short & sane
+    valid = F.coalesce(complete & ~short & sane, F.lit(False))
     return staged.select(
         *[c for c in df.columns if c not in ("question", "sql")],
         F.when(complete, F.substring(q, 1, MAX_QUESTION)).otherwise(F.col("question")).alias("question"),
         F.when(complete, tidy_sql("sql")).otherwise(F.col("sql")).alias("sql"),
-        F.coalesce(valid, F.lit(False)).alias("is_valid"),
+        valid.alias("is_valid"),
         F.when(complete, F.concat(later, F.col("_context_issues"))).otherwise(required).alias("issues"),
         F.col("_tables").alias("relevant_tables"), F.col("_columns").alias("relevant_columns"))
 
@@ -87,8 +87,8 @@ def validate_pairs(df: DataFrame, keep_warnings: bool = False) -> tuple:
     checked = checked_pairs(df)
     valid = checked.filter("is_valid").drop("is_valid", "issues")
     rejected = checked if keep_warnings else checked.filter(~F.col("is_valid"))
-    issues = rejected.select("pair_id", F.posexplode("issues").alias("pos", "issue")).select(
-        "pair_id", (F.col("pos") + 1).cast("long").alias("ordinal"), "issue")
+    issues = (rejected.select("pair_id", F.posexplode_outer("issues").alias("pos", "issue")).filter(F.col("issue").isNotNull())
+              .select("pair_id", (F.col("pos") + 1).cast("long").alias("ordinal"), "issue"))
     return valid, issues
 
 
@@ -110,7 +110,8 @@ def quality_report(df: DataFrame) -> DataFrame:
 def schema_coverage(df: DataFrame) -> DataFrame:
     """Valid pairs per referenced table."""
     valid, _ = validate_pairs(df)
-    return valid.select(F.explode("relevant_tables").alias("table_name")).groupBy("table_name").agg(
+    return valid.select(F.explode_outer("relevant_tables").alias("table_name")).filter(
+        F.col("table_name").isNotNull()).groupBy("table_name").agg(
         F.count(F.lit(1)).alias("n"))
 
 

@@ -32,22 +32,27 @@ def structural_match(pred, truth) -> Column:
     return jaccard(word_set(normalise(pred)), word_set(normalise(truth))) > JACCARD_THRESHOLD
 
 
-def _numbered_grams(toks: Column, n: int) -> Column:
-    """n-grams with their occurrence number, so that a set intersection counts clipped matches."""
-    grams = F.when(F.size(toks) >= n, F.sort_array(F.transform(
-        F.sequence(F.lit(1), F.size(toks) - n + 1), lambda i: F.array_join(F.slice(toks, i, n), "\u0001"))))
-    grams = F.coalesce(grams, F.array().cast("array<string>"))
+def _grams(toks: str, size: str, n: int) -> Column:
+    """Sorted n-grams of a token array."""
+    starts = F.sequence(F.lit(1), F.col(size) - n + 1)
+    grams = F.sort_array(F.transform(starts, lambda i: F.array_join(F.slice(toks, i, n), "\u0001")))
+    return F.when(F.col(size) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+
+def _numbered(grams: str) -> Column:
+    """Grams with their occurrence number, so that a set intersection counts clipped matches. The
+    array is a column of its own: inside the function it must not be computed again per gram."""
     return F.transform(grams, lambda g, i: F.concat(g, F.lit("\u0002"), (i - F.array_position(grams, g)).cast("string")))
 
 
 def with_bleu(df: DataFrame, pred: str, truth: str, name: str = "bleu_score") -> DataFrame:
     """Add BLEU-4 (uniform weights, epsilon smoothing, brevity penalty). Each row is scored from its
     own two token arrays: no explode and no shuffle."""
-    staged = spread(df).withColumn("_p", tokens(pred)).withColumn("_t", tokens(truth))
-    staged = staged.withColumn("_np", F.size("_p")).withColumn("_nt", F.size("_t"))
-    for n in range(1, BLEU_ORDER + 1):
-        staged = staged.withColumn(f"_m{n}", F.size(F.array_intersect(
-            _numbered_grams(F.col("_p"), n), _numbered_grams(F.col("_t"), n))))
+    orders = range(1, BLEU_ORDER + 1)
+    staged = spread(df).withColumns({"_p": tokens(pred), "_t": tokens(truth)})
+    staged = staged.withColumns({"_np": F.size("_p"), "_nt": F.size("_t")})
+    staged = staged.withColumns({f"_g{s}{n}": _grams(f"_{s}", f"_n{s}", n) for s in "pt" for n in orders})
+    staged = staged.withColumns({f"_m{n}": F.size(F.array_intersect(_numbered(f"_gp{n}"), _numbered(f"_gt{n}"))) for n in orders})
     logs = F.lit(0.0)
     for n in range(1, BLEU_ORDER + 1):
         total = F.greatest(F.lit(1), F.col("_np") - n + 1)
