@@ -128,10 +128,12 @@ def dense_topk(docs: DataFrame, queries: DataFrame, k: int, block: int = QUERY_B
     else:
         rows = max(1, math.ceil(estimated_bytes(vectors) / TILE_BYTES))
         cols = math.ceil(asked.count() / block)
-        left = vectors.select("*", F.pmod(F.xxhash64("id"), F.lit(rows)).alias("_r"),
-                              F.explode(F.sequence(F.lit(0), F.lit(cols - 1))).alias("_c"))
-        right = asked.select("*", F.pmod(F.xxhash64("qid"), F.lit(cols)).cast("int").alias("_c"),
-                             F.explode(F.sequence(F.lit(0), F.lit(rows - 1))).cast("long").alias("_r"))
+
+        def every(n):
+            return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+        left = vectors.select("*", F.pmod(F.xxhash64("id"), F.lit(rows)).cast("long").alias("_r"), every(cols).alias("_c"))
+        right = asked.select("*", F.pmod(F.xxhash64("qid"), F.lit(cols)).cast("long").alias("_c"), every(rows).alias("_r"))
 
         def tile(v: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
             if v.empty or q.empty:
