@@ -36,7 +36,7 @@ def _grams(toks: str, size: str, n: int) -> Column:
     """Sorted n-grams of a token array."""
     starts = F.sequence(F.lit(1), F.col(size) - n + 1)
     grams = F.sort_array(F.transform(starts, lambda i: F.array_join(F.slice(toks, i, n), "\u0001")))
-    return F.when(F.col(size) >= n, grams).otherwise(F.array().cast("array<string>"))
+    return F.when(~F.col("_same") & (F.col(size) >= n), grams).otherwise(F.array().cast("array<string>"))
 
 
 def _numbered(grams: str) -> Column:
@@ -45,14 +45,24 @@ def _numbered(grams: str) -> Column:
     return F.transform(grams, lambda g, i: F.concat(g, F.lit("\u0002"), (i - F.array_position(grams, g)).cast("string")))
 
 
+def _matches(n: int) -> Column:
+    """Clipped n-gram matches. Equal texts match everywhere; without repeats on one side the common
+    set is the answer; only the rest needs occurrence numbers."""
+    p, t = F.col(f"_gp{n}"), F.col(f"_gt{n}")
+    no_repeats = (F.size(F.array_distinct(p)) == F.size(p)) | (F.size(F.array_distinct(t)) == F.size(t))
+    return (F.when(F.col("_same"), F.greatest(F.col("_np") - n + 1, F.lit(0)))
+            .when(no_repeats, F.size(F.array_intersect(p, t)))
+            .otherwise(F.size(F.array_intersect(_numbered(f"_gp{n}"), _numbered(f"_gt{n}")))))
+
+
 def with_bleu(df: DataFrame, pred: str, truth: str, name: str = "bleu_score") -> DataFrame:
     """Add BLEU-4 (uniform weights, epsilon smoothing, brevity penalty). Each row is scored from its
     own two token arrays: no explode and no shuffle."""
     orders = range(1, BLEU_ORDER + 1)
     staged = spread(df).withColumns({"_p": tokens(pred), "_t": tokens(truth)})
-    staged = staged.withColumns({"_np": F.size("_p"), "_nt": F.size("_t")})
+    staged = staged.withColumns({"_np": F.size("_p"), "_nt": F.size("_t"), "_same": F.col("_p") == F.col("_t")})
     staged = staged.withColumns({f"_g{s}{n}": _grams(f"_{s}", f"_n{s}", n) for s in "pt" for n in orders})
-    staged = staged.withColumns({f"_m{n}": F.size(F.array_intersect(_numbered(f"_gp{n}"), _numbered(f"_gt{n}"))) for n in orders})
+    staged = staged.withColumns({f"_m{n}": _matches(n) for n in orders})
     logs = F.lit(0.0)
     for n in range(1, BLEU_ORDER + 1):
         total = F.greatest(F.lit(1), F.col("_np") - n + 1)

@@ -147,7 +147,7 @@ def str02(t):
     history.run_to_table(windows, f"{folder}/table", f"{folder}/checkpoint")
     rows = t.spark.read.parquet(f"{folder}/table")
     day = F.date_format(F.col("window.start"), "yyyy-MM-dd")
-    return rows.select(day.alias("day"), "strategy", "calls", "correct", F.round("avg_time", 4).alias("avg_time"))
+    return rows.select(day.alias("day"), "strategy", "calls", "correct", "avg_time")
 
 
 PLANS = {name[:5].upper() + name[5:]: f for name, f in list(globals().items())
