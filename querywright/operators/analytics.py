@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from querywright.functions import stats
 from querywright.functions.sqltext import complexity, length_class, query_type, strip, text
 from querywright.operators.charts import box_summary, finite
-from querywright.scale import checked_broadcast, fits, guarded_corr, quantiles, rate, running_totals, union_all
+from querywright.scale import fits, guarded_corr, quantiles, rate, running_totals, union_all
 
 INF = float("inf")
 

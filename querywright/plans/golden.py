@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from querywright.plans.fixtures import PROMISED_DAYS, item_level, order_level, places
+from querywright.plans.fixtures import item_level, order_level, places
 from querywright.scale import sum_by_dimension, top_k
 
 ANCHOR_DATE = "1998-08-15"

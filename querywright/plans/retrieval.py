@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from querywright.functions.sqltext import word_set
 from querywright.operators import retrieve as r
 from querywright.plans.profiles import rounded
 
