@@ -30,6 +30,8 @@ STATE_SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    # stores of many partitions are small each; their logs need no space in advance
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
