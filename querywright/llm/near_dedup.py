@@ -9,8 +9,9 @@
    leaves; in a region wider than the window every leaf also meets the region's medoid, the leaf that agrees best with the
    majority hash of every place (the original of a group of edited copies). Leaves whose neighbours are all but equal are
    linked to the next one only, so a group of n near copies gives a few times n candidates, never n squared.
-4. Candidates with a plausible signature agreement are checked on their full shingle sets, and the links are joined to
-   components by minimum labels with pointer jumping.
+4. Candidates with a plausible signature agreement are checked on their full shingle sets, in two rounds: first the pairs
+   with a medoid and the next neighbours in narrow regions, then those of the others whose ends are still in different
+   components. Links are joined to components by minimum labels with pointer jumping.
 
 At the threshold of 0.75 a pair misses all 16 regions of two hashes with probability (1 - 0.75 ** 2) ** 16 < 2e-6.
 
@@ -41,6 +42,7 @@ NEAR = 8                  # leaves a leaf looks ahead
 PLAUSIBLE = 0.53          # estimated similarity of a candidate: the threshold less four standard errors
 CERTAIN = 0.92            # neighbours of this estimate need no further partners in their window
 CHUNK = 1 << 13
+BROADCAST_IDS = 500_000   # documents in question that are sent to the scan; more meet the texts in a join
 
 _rng = np.random.default_rng(7)
 _FACTORS = _rng.integers(1, 1 << 63, PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -108,7 +110,8 @@ def leaves(classes: DataFrame, region: int = REGION) -> DataFrame:
                      pa.array([x.tobytes() for x in labels], pa.binary()), pa.array(ids, pa.int64())],
                     names=["region", "label", "id"])
 
-    rows = settle(classes.select("id", "sketch", "heads").mapInArrow(run, "region long, label binary, id long"))
+    # the classes are stored; their leaves follow from them and are cheaper to make again than to keep
+    rows = classes.select("id", "sketch", "heads").mapInArrow(run, "region long, label binary, id long")
     for depth, deeper in zip(DEPTHS, DEPTHS[1:]):
         wide = rows.groupBy("region").count().filter(F.col("count") > region).select("region", F.lit(True).alias("wide"))
         wide = settle(wide)
@@ -128,10 +131,14 @@ def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((a == b).mean(axis=-1) - 1 / 256) * (256 / 255)
 
 
-def region_pairs(labels: np.ndarray, ids: np.ndarray, region: np.ndarray, near: int = NEAR) -> tuple[np.ndarray, np.ndarray]:
-    """Candidates among whole regions whose leaves lie in label order."""
-    left, right = [], []
+def region_pairs(labels: np.ndarray, ids: np.ndarray, region: np.ndarray, near: int = NEAR) -> tuple[np.ndarray, ...]:
+    """Candidates (a, b, turn) among whole regions whose leaves lie in label order; turn 0 is checked first."""
+    left, right, turn = [], [], []
     n = len(ids)
+    edges = np.flatnonzero(np.append(True, region[1:] != region[:-1])) if n else np.zeros(0, int)
+    ends = np.append(edges[1:], n)[:len(edges)]
+    wide = ends - edges > near + 1
+    in_wide = np.repeat(wide, ends - edges)
     linked = np.ones(n, bool)                   # a chain of all but equal leaves links both ends already
     for ahead in range(1, min(near, n - 1) + 1):
         same = region[ahead:] == region[:-ahead]
@@ -143,9 +150,7 @@ def region_pairs(labels: np.ndarray, ids: np.ndarray, region: np.ndarray, near:
         at = np.flatnonzero(ask if ahead == 1 else ask & ~linked)
         left.append(ids[at])
         right.append(ids[at + ahead])
-    edges = np.flatnonzero(np.append(True, region[1:] != region[:-1])) if n else np.zeros(0, int)
-    ends = np.append(edges[1:], n)
-    wide = ends - edges > near + 1
+        turn.append(np.where(in_wide[at], 1, min(ahead - 1, 1)))
     for start, stop in zip(edges[wide], ends[wide]):
         block = labels[start:stop]
         votes = np.bincount((block + np.arange(PLACES) * 256).ravel(), minlength=256 * PLACES).reshape(PLACES, 256)
@@ -154,13 +159,14 @@ def region_pairs(labels: np.ndarray, ids: np.ndarray, region: np.ndarray, near:
         at = at[at != medoid]
         left.append(ids[start + at])
         right.append(np.full(len(at), ids[start + medoid]))
+        turn.append(np.zeros(len(at), np.int64))
     a = np.concatenate(left) if left else ids[:0]
     b = np.concatenate(right) if right else ids[:0]
-    return np.minimum(a, b), np.maximum(a, b)
+    return np.minimum(a, b), np.maximum(a, b), np.concatenate(turn) if turn else ids[:0]
 
 
 def candidates(rows: DataFrame, near: int = NEAR) -> DataFrame:
-    """(a, b): distinct candidate pairs of classes, a < b."""
+    """(a, b, turn): distinct candidate pairs of classes, a < b."""
     def run(batches):
         held = None
         for batch in batches:
@@ -175,14 +181,13 @@ def candidates(rows: DataFrame, near: int = NEAR) -> DataFrame:
             yield from _pairs(held, near)
 
     ordered = rows.repartition("region").sortWithinPartitions("region", "label", "id")
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    return ordered.mapInArrow(run, "a long, b long, turn long").groupBy("a", "b").agg(F.min("turn").alias("turn"))
 
 
 def _pairs(table: pa.Table, near: int):
     labels = np.frombuffer(b"".join(table["label"].to_pylist()), np.uint8).reshape(-1, PLACES)
-    a, b = region_pairs(labels, table["id"].to_numpy(), table["region"].to_numpy(), near)
-    pairs = np.unique(np.stack([a, b]), axis=1)
-    yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+    found = region_pairs(labels, table["id"].to_numpy(), table["region"].to_numpy(), near)
+    yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in found], names=["a", "b", "turn"])
 
 
 def links(docs: DataFrame, pairs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH,
@@ -194,7 +199,8 @@ def links(docs: DataFrame, pairs: DataFrame, id_col: str = "doc_id", text: str =
             out += [s.view(np.int64) for s in shingle_sets(texts.slice(start, 256).to_pylist(), width)]
         return pa.array(out, pa.list_(pa.int64()))
 
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
+    asked = settle(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct())
+    asked = F.broadcast(asked) if asked.count() <= BROADCAST_IDS else asked
     found = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")).join(asked, "_id", "left_semi")
     sets = found.select("_id", F.arrow_udf(run, "array<long>").asNondeterministic()("_text").alias("items"))
     sets = sets.groupBy("_id").agg(F.max_by("items", F.struct(F.size("items"), "items")).alias("items"))
@@ -223,6 +229,19 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("label", "component")
 
 
+def all_links(docs: DataFrame, pairs: DataFrame, id_col: str, text: str, width: int, similar: int) -> DataFrame:
+    """Links (a, b) that join what the candidates can join: a pair whose ends earlier links have joined is not checked."""
+    first = settle(links(docs, pairs.filter("turn = 0").select("a", "b"), id_col, text, width, similar))
+    reach = components(first)
+    of = lambda end: reach.select(F.col("id").alias(end), F.col("component").alias(f"c{end}"))
+    rest = (pairs.filter("turn > 0").join(of("a"), "a", "left").join(of("b"), "b", "left")
+            .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
+    rest = settle(rest)
+    if rest.isEmpty():
+        return first
+    return first.unionByName(links(docs, rest, id_col, text, width, similar))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH,
                     similar: int = SIMILAR) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per document; rows without an id have no component and are kept."""
@@ -232,8 +251,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     full = single.filter("n > 0")
     classes = settle(full.groupBy("n", "sum", "fold").agg(
         F.min("doc_id").alias("id"), F.first("sketch").alias("sketch"), F.first("heads").alias("heads")))
-    edges = links(docs, settle(candidates(leaves(classes))), id_col, text, width, similar)
-    reach = components(edges)
+    reach = components(all_links(docs, settle(candidates(leaves(classes))), id_col, text, width, similar))
     named = (classes.select("n", "sum", "fold", "id").join(reach, "id", "left")
              .select("n", "sum", "fold", F.coalesce("component", "id").alias("component")))
     out = (full.select("doc_id", "n", "sum", "fold").join(named, ["n", "sum", "fold"])
