@@ -106,7 +106,8 @@ def card(value: Column, key: str) -> Column:
 
 def phone(value: Column, key: str) -> Column:
     def body(d: Column) -> Column:
-        marked = value.startswith("+") | value.rlike(r"[\x20().-]")
+        shaped_ssn = value.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$")
+        marked = (value.startswith("+") | value.rlike(r"[\x20().-]")) & ~shaped_ssn
         return F.when(F.char_length(d).between(9, 15) & marked, refilled(value, permuted_digits(d, key, "phone")))
     return let(only_digits(value), body)
 

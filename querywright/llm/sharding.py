@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from querywright.llm.storage import settle
 
 SHARDS = 16
-ROUNDS = 4
+ROUNDS = 8               # a group fills about one shard a round; rounds without a move end the loop
 BUCKETS = 64              # hash buckets that quotas are cut by
 RANK_ROWS = 20_000        # rows per bucket of the ranking
 LOAD_BOUND = 1 << 16      # most shards; their loads are the only thing the driver sees
@@ -98,22 +98,29 @@ def level(nodes: DataFrame, loads: list[int], shards: int) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot) with shard sizes at most one apart."""
     total = sum(loads)
     quota = quotas(total, shards)
-    surplus_before, free, n_surplus, n_free = [], [], 0, 0
+    surplus_before, n_surplus = [], 0
+    free, starts, first_slots, n_free = [], [], [], 0
     for s in range(shards):
         surplus_before.append(n_surplus)
         n_surplus += max(loads[s] - quota[s], 0)
         if quota[s] > loads[s]:
-            free.append((s, n_free, n_free + quota[s] - loads[s], loads[s]))
+            free.append(s)
+            starts.append(n_free)
+            first_slots.append(loads[s])
             n_free += quota[s] - loads[s]
     rows = ranked(nodes, max(1, -(-total // (shards * RANK_ROWS))))
     over = F.col("rank") - _at(quota, F.col("shard"))
-    turn = F.when(over >= 0, over + _at(surplus_before, F.col("shard")))
-    shard, slot = F.col("shard"), F.col("rank")
-    for s, start, stop, at in free:                    # at most one step per shard
-        here = (F.col("turn") >= start) & (F.col("turn") < stop)
-        shard, slot = F.when(here, F.lit(s)).otherwise(shard), F.when(here, F.col("turn") - start + at).otherwise(slot)
-    return rows.withColumn("turn", turn).select(
-        "doc_id", "size", "text_crc32", shard.cast("int").alias("shard"), slot.cast("long").alias("slot"))
+    rows = rows.withColumn("turn", F.when(over >= 0, over + _at(surplus_before, F.col("shard"))))
+    if not free:
+        return rows.select("doc_id", "size", "text_crc32", "shard", F.col("rank").alias("slot"))
+    # the turn of a surplus row names the free place it takes
+    here = F.size(F.filter(F.array(*map(F.lit, starts)), lambda s: s <= F.col("turn"))) - 1
+    moves = F.col("turn").isNotNull()
+    return rows.withColumn("here", F.when(moves, here)).select(
+        "doc_id", "size", "text_crc32",
+        F.when(moves, _at(free, F.col("here"))).otherwise(F.col("shard")).cast("int").alias("shard"),
+        F.when(moves, F.col("turn") - _at(starts, F.col("here")) + _at(first_slots, F.col("here")))
+        .otherwise(F.col("rank")).cast("long").alias("slot"))
 
 
 def shard_rows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shards: int = SHARDS,
