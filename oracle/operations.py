@@ -26,7 +26,7 @@ SQL = {
     "UDF02": with_("sql_pairs", f"SELECT question_id, 'careful' AS technique, {norm('truth_sql')} AS sql, CAST(0.9 AS DOUBLE) AS confidence_score, false AS failed FROM sql_pairs UNION ALL SELECT question_id, 'sloppy', CASE WHEN question_id % 4 = 0 THEN '' ELSE {norm('lower(truth_sql)')} END, CASE WHEN question_id % 4 = 0 THEN 0.0 ELSE 0.5 END, question_id % 4 = 0 FROM sql_pairs"),
     "UDF03": with_("questions", f"SELECT qid, 'zero_shot' AS strategy, md5({prompt('zero_shot')}) AS prompt_md5 FROM questions UNION ALL SELECT qid, 'terse', md5('SQL for: ' || question) FROM questions"),
     "UDF04": with_("eval_rows", "SELECT technique, round(avg(CASE WHEN response_time > 1 THEN 1.0 ELSE 0.0 END), 6) AS slow_share, round(max(response_time) FILTER (NOT isinf(response_time)), 6) AS longest FROM eval_rows GROUP BY 1"),
-    "STR01": "SELECT event_id, event_type, value FROM events",
-    "STR02": "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type AS strategy, count(*) AS calls, count(*) FILTER (event_id % 3 <> 0) AS correct, CAST(sum(CAST(value AS DECIMAL(18,2))) FILTER (event_id % 97 <> 0) AS DOUBLE) / 1e2 / count(*) FILTER (event_id % 97 <> 0) AS avg_time FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY 1, 2",
+    "STR01": "SELECT * FROM events",
+    "STR02": "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type AS strategy, count(*) AS calls, count(*) FILTER (event_id % 3 <> 0) AS correct, CAST(sum(CAST(value AS DECIMAL(18,2))) FILTER (event_id % 97 <> 0) AS DOUBLE) / 1e2 / count(*) FILTER (event_id % 97 <> 0) AS avg_time FROM events GROUP BY 1, 2",
 }
 

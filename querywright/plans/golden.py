@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from querywright.plans.fixtures import item_level, order_level, places
-from querywright.scale import sum_by_dimension, top_k
+from querywright.scale import checked_broadcast, sum_by_dimension, top_k
 
 ANCHOR_DATE = "1998-08-15"
 
@@ -87,8 +87,8 @@ def g06(t):
 
 
 def g07(t):
-    return (lines_with_orders(t).filter(F.col("o_orderstatus") == "F")
-            .agg(F.countDistinct("o_orderkey").alias("delivered_orders")))
+    orders = t.orders.filter(F.col("o_orderstatus") == "F").join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi")
+    return orders.agg(F.countDistinct("o_orderkey").alias("delivered_orders"))
 
 
 def g08(t):
@@ -247,7 +247,7 @@ def g31(t):
     a third of all customers is never one window partition."""
     totals = spend_per_customer(t).join(places(t), F.col("o_custkey") == F.col("c_custkey"))
     averages = totals.groupBy("city").agg(F.avg("total_spent").alias("city_avg"))
-    return (totals.join(averages, "city").filter(F.col("total_spent") > F.col("city_avg"))
+    return (totals.join(checked_broadcast(averages), "city").filter(F.col("total_spent") > F.col("city_avg"))
             .select(F.col("c_custkey").alias("customer_id"), F.col("city").alias("customer_city"), "total_spent",
                     F.round("city_avg", 4).alias("city_avg")))
 

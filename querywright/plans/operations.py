@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from querywright.functions.sqltext import normalise
 from querywright.operators import analytics, catalog, clean, curate, models
-from querywright.plans.fixtures import columns_catalog, dirty_docs, eval_rows, qa_pairs, raw_pairs, sql_pairs, user_questions
+from querywright.plans.fixtures import columns_catalog, dirty_docs, eval_rows, qa_pairs, raw_pairs, sql_pairs, user_questions, with_run_outcome
 from querywright.plans.prompting import SCHEMA
 from querywright.plans.scoring import all_rounded, log
 from querywright.operators.prompts import register_strategy, render_prompts, Strategy
@@ -78,8 +78,8 @@ def snk04(t):
 def snk05(t):
     """Orders and lines bucketed on the order key; the join of the two needs no shuffle."""
     names = {"qw_orders": t.orders, "qw_lines": t.lineitem}
-    sinks.register_tables(t.spark, names, {"qw_orders": "o_orderkey", "qw_lines": "l_orderkey"}, buckets=8,
-                          location=history.work_folder(t.spark, "bucketed"))
+    sinks.register_tables(t.spark, names, {"qw_orders": "o_orderkey", "qw_lines": "l_orderkey"},
+                          location=history.work_folder(t.spark, "bucketed"), replace=True)
     joined = t.spark.table("qw_lines").join(t.spark.table("qw_orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
@@ -138,12 +138,13 @@ def str01(t):
     stream = history.read_events(t.spark, t.folder, "events.parquet")
     history.append_history(stream.unionByName(history.read_events(t.spark, t.folder, "events.parquet")),
                            f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
-    return t.spark.read.parquet(f"{folder}/table").select("event_id", "event_type", "value")
+    return t.spark.read.parquet(f"{folder}/table").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 def str02(t):
     folder = history.work_folder(t.spark, "windows")
-    windows = history.strategy_windows(history.read_events(t.spark, t.folder, "events.parquet"))
+    rows = with_run_outcome(history.read_events(t.spark, t.folder, "events.parquet"))
+    windows = history.strategy_windows(rows, "event_type", "ok", "correct", "value")
     history.run_to_table(windows, f"{folder}/table", f"{folder}/checkpoint")
     rows = t.spark.read.parquet(f"{folder}/table")
     day = F.date_format(F.col("window.start"), "yyyy-MM-dd")

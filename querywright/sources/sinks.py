@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from querywright.operators.analytics import best_technique, recommendations
+from querywright.scale import estimated_bytes
 
 
 def write_splits(df: DataFrame, folder: str, column: str = "split") -> None:
@@ -34,15 +35,33 @@ def write_results(df: DataFrame, path: str, key: str = "question_id") -> None:
     nested_results(df, key).write.mode("overwrite").json(path)
 
 
-def register_tables(spark: SparkSession, tables: dict, bucket_keys: dict, buckets: int = 64, location: str | None = None) -> None:
-    """Replace-load tables for query. A table with a join key is bucketed and sorted on it, so joins
-    on that key need no shuffle; the others become views. ``location`` puts the files elsewhere than
-    in the warehouse."""
+BUCKET_BYTES = 256 << 20
+
+
+def bucket_count(tables, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets for tables that are joined with each other: a power of two, sized by the largest, so that a bucket holds
+    about ``bucket_bytes`` of files. Small tables get one per core."""
+    tables = list(tables)
+    least = tables[0].sparkSession.sparkContext.defaultParallelism
+    wanted = max(least, *[-(-estimated_bytes(df) // bucket_bytes) for df in tables])
+    return 1 << (wanted - 1).bit_length()
+
+
+def register_tables(spark: SparkSession, tables: dict, bucket_keys: dict, buckets: int | None = None,
+                    location: str | None = None, replace: bool = False) -> None:
+    """Load tables for query. A table with a join key is bucketed and sorted on it, so joins on that key need no shuffle;
+    the others become views. The number of buckets follows from the tables' sizes unless given. ``location`` puts the
+    files elsewhere than in the warehouse; a table of the same name is an error unless ``replace``."""
+    bucketed = [df for name, df in tables.items() if name in bucket_keys]
+    if bucketed and buckets is None:
+        buckets = bucket_count(bucketed)
     for name, df in tables.items():
         if name in bucket_keys:
             key = bucket_keys[name]
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-            writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet")
+            if replace:
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
+            rows = df.repartition(buckets, key)  # one file per bucket
+            writer = rows.write.mode("errorifexists").bucketBy(buckets, key).sortBy(key).format("parquet")
             (writer.option("path", f"{location}/{name}") if location else writer).saveAsTable(name)
         else:
             df.createOrReplaceTempView(name)
