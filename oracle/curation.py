@@ -73,6 +73,7 @@ SQL = {
     "CAT02": each(_REFS, lambda r: f"SELECT '{r[0]}' AS table_name, '{r[1]}' AS column_name, '{r[2]}' AS ref_table, '{r[3]}' AS ref_column, count({r[1]}) AS rows, count(DISTINCT {r[1]}) AS distinct_values FROM {r[0]}"),
     "CAT03": with_("columns_catalog", "WITH top AS (SELECT table_name, count(*) AS n_columns FROM columns_catalog GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5), few AS (SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY position) AS rn FROM columns_catalog JOIN top USING (table_name)) SELECT table_name, n_columns, string_agg(column_name || ':' || data_type || CASE WHEN is_primary_key THEN '*' ELSE '' END, ', ' ORDER BY position) AS columns FROM few WHERE rn <= 6 GROUP BY 1, 2"),
     "CAT04": with_("edges_catalog", "SELECT table_name, table_name || '.' || column_name || ' → ' || ref_table || '.' || ref_column AS line FROM edges_catalog"),
+    "CAT04_text": with_("edges_catalog", "SELECT table_name, string_agg(line, chr(10) ORDER BY line) AS schema_graph FROM (SELECT table_name, table_name || '.' || column_name || ' → ' || ref_table || '.' || ref_column AS line FROM edges_catalog) GROUP BY 1"),
     "CAT05": with_("columns_catalog", "SELECT 'names' AS style, table_name, table_name || '(' || string_agg(column_name, ', ' ORDER BY position) || ')' AS text FROM columns_catalog GROUP BY 2 UNION ALL SELECT 'typed', table_name, '- ' || table_name || ': ' || string_agg(column_name || '(' || data_type || ')', ', ' ORDER BY position) FROM columns_catalog GROUP BY 2 UNION ALL SELECT 'keys', table_name, '  ' || table_name || '(' || string_agg(column_name || ':' || data_type || CASE WHEN is_primary_key THEN ' (PK)' ELSE '' END, ', ' ORDER BY position) || ')' FROM columns_catalog GROUP BY 2"),
     "CAT06": with_("columns_catalog", "SELECT table_name AS \"table\", table_name || '.' || column_name AS \"column\" FROM columns_catalog"),
     "CAT07": with_("columns_catalog edges_catalog", _CARDS.format(fk="(table_name, column_name) IN (SELECT (table_name, column_name) FROM edges_catalog)")),

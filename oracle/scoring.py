@@ -331,5 +331,6 @@ SELECT section, technique, seq, text FROM (
     "CHT14": with_("eval_rows", f"WITH b AS ({RAWBOARD}) SELECT model, metric, round(value, 6) AS value FROM (UNPIVOT (SELECT model, execution_accuracy, exact_match_accuracy, schema_compliance_rate, avg_bleu_score, avg_response_time, CAST(error_rate AS DOUBLE) AS error_rate FROM b) ON execution_accuracy, exact_match_accuracy, schema_compliance_rate, avg_bleu_score, avg_response_time, error_rate INTO NAME metric VALUE value)"),
     "CHT15": with_("eval_rows", f"WITH b AS (SELECT technique, avg(CAST(execution_correct AS DOUBLE)) AS acc, avg(CAST(exact_match AS DOUBLE)) AS ex, avg(bleu_score) AS bleu, avg(CAST(schema_compliant AS DOUBLE)) AS comp, avg({OKT}) AS rt FROM eval_rows GROUP BY 1) SELECT round(avg(acc), 6) AS avg_execution_accuracy, round(avg(ex), 6) AS avg_exact_match, round(avg(bleu), 6) AS avg_bleu_score, round(avg(comp), 6) AS avg_schema_compliance, (SELECT technique FROM b ORDER BY acc DESC, technique LIMIT 1) AS best_model, (SELECT technique FROM b ORDER BY rt, technique LIMIT 1) AS fastest_model, (SELECT round(count(*) FILTER (error_message IS NULL) / CAST(count(*) AS DOUBLE), 6) FROM eval_rows) AS success_share FROM b"),
     "SNK08": with_("eval_rows", "SELECT question_id // 5 AS question_id, " + ", ".join(f"round(max({c}) FILTER (technique = '{n}'), 6) AS {n}_{c}" for n in TECHNIQUES for c in ("bleu_score", "confidence_score")) + " FROM eval_rows GROUP BY 1"),
+    "SNK08_results": with_("eval_rows", "SELECT question_id // 5 AS question_id, technique, round(max(bleu_score), 6) AS bleu_score, round(max(confidence_score), 6) AS confidence_score FROM eval_rows GROUP BY 1, 2"),
     "SNK08_summary": with_("eval_rows", f"WITH s AS ({STRAT}) {OVERALL}"),
 }

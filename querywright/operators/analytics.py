@@ -365,12 +365,22 @@ def cross_model(df: DataFrame) -> DataFrame:
         (F.sum("good") / F.sum("n")).alias("success_share"))
 
 
-def results_mart(df: DataFrame) -> dict:
-    """Tables for a dashboard: summary, per strategy, and one row per question with a column per
-    strategy and measure."""
+MART_MEASURES = ("bleu_score", "confidence_score")
+
+
+def question_results(df: DataFrame) -> DataFrame:
+    """Long form: one row per question and strategy with its best measures, however many strategies there are."""
+    return df.groupBy("question_id", "technique").agg(*[F.max(c).alias(c) for c in MART_MEASURES])
+
+
+def wide_results(df: DataFrame, names) -> DataFrame:
+    """One row per question with a column per measure of the named strategies."""
+    return df.groupBy("question_id").agg(*[
+        F.max(F.when(F.col("technique") == n, F.col(c))).alias(f"{n}_{c}") for n in names for c in MART_MEASURES])
+
+
+def results_mart(df: DataFrame, names=()) -> dict:
+    """Tables for a dashboard: summary, per strategy, per question and strategy, and a wide table of the named ones."""
     strategies = strategy_aggregates(df)
-    names = [r[0] for r in df.select("technique").distinct().orderBy("technique").limit(1000).collect()]
-    wide = df.groupBy("question_id").agg(*[
-        F.max(F.when(F.col("technique") == n, F.col(c))).alias(f"{n}_{c}") for n in names
-        for c in ("bleu_score", "confidence_score")])
-    return {"summary": overall_summary(strategies), "strategies": strategies, "questions": wide}
+    tables = {"summary": overall_summary(strategies), "strategies": strategies, "results": question_results(df)}
+    return {**tables, "questions": wide_results(df, names)} if names else tables

@@ -50,12 +50,11 @@ def edge_lines(edges: DataFrame) -> DataFrame:
         "%s.%s → %s.%s", "table_name", "column_name", "ref_table", "ref_column").alias("line"))
 
 
-def schema_graph(edges: DataFrame, max_edges: int = 10_000) -> DataFrame:
-    """All edge lines as one text, for catalogs that fit a prompt; larger ones keep ``edge_lines``."""
-    lines = edge_lines(edges)
-    if lines.limit(max_edges + 1).count() > max_edges:
-        raise ValueError(f"more than {max_edges} edges do not make one text; use edge_lines")
-    return lines.agg(F.array_join(F.array_sort(F.collect_list("line")), "\n").alias("schema_graph"))
+def schema_graph(edges: DataFrame) -> DataFrame:
+    """The edge lines of each table as one text, in order. A text is as long as its table has keys; the texts in the order
+    of their tables are the text of the whole catalog."""
+    return edge_lines(edges).groupBy("table_name").agg(
+        F.array_join(F.array_sort(F.collect_list("line")), "\n").alias("schema_graph"))
 
 
 STYLES = {

@@ -16,7 +16,7 @@ MIN_QUESTION, MAX_QUESTION = 5, 500
 PARAPHRASES = (("show me", "display"), ("find", "get"), ("what is", "what are"), ("how many", "count"), ("list all", "show all"))
 AGGREGATES = ("COUNT", "SUM", "AVG", "MAX", "MIN")
 VARIANTS = ("upper", "lower", "collapse", "commas")
-RANK_BUCKET_DIGITS = 3
+RANK_BUCKET_DIGITS, RANK_BUCKET_ROWS = 3, 1 << 20
 
 
 def _issue(test: Column, *message) -> Column:
@@ -154,13 +154,16 @@ def alias_aggregate(sql) -> Column:
     return out.otherwise(s)
 
 
-def hash_rank(df: DataFrame, key: str, seed: int = 0, name: str = "shuffle_rank") -> DataFrame:
-    """Position (from 0) of each row in a repeatable shuffle: the order of md5(key, seed).
+def hash_rank(df: DataFrame, key: str, n: int, seed: int = 0, name: str = "shuffle_rank") -> DataFrame:
+    """Position (from 0) of each of ``n`` rows in a repeatable shuffle: the order of md5(key, seed).
 
-    Hashes are uniform, so their first digits are balanced buckets: rows are numbered per bucket
-    and shifted by the sizes of the buckets before, 4096 numbers at most."""
+    Hashes are uniform, so their first digits are balanced buckets: rows are numbered per bucket and shifted by the sizes
+    of the buckets before. More rows take more digits, so that a bucket stays near a million rows at most."""
+    digits = RANK_BUCKET_DIGITS
+    while n > RANK_BUCKET_ROWS << (4 * digits):
+        digits += 1
     h = df.withColumn("_h", F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))))
-    h = h.withColumn("_b", F.substring("_h", 1, RANK_BUCKET_DIGITS))
+    h = h.withColumn("_b", F.substring("_h", 1, digits))
     sizes = h.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
@@ -173,12 +176,12 @@ def split(df: DataFrame, key: str, ratios=(0.8, 0.1, 0.1), seed: int = 0) -> Dat
     """Add ``split``: exact floor sizes for train and validation, the rest is test."""
     if abs(sum(ratios) - 1.0) > 1e-6:
         raise ValueError("ratios must sum to 1.0")
-    n = df.agg(F.count(F.lit(1))).scalar()
-    ranked = hash_rank(df, key, seed).withColumn("_n", n)
-    train, val = F.floor(F.col("_n") * ratios[0]), F.floor(F.col("_n") * ratios[1])
+    n = df.count()
+    ranked = hash_rank(df, key, n, seed)
+    train, val = F.floor(F.lit(n) * ratios[0]), F.floor(F.lit(n) * ratios[1])
     label = (F.when(F.col("shuffle_rank") < train, "train").when(F.col("shuffle_rank") < train + val, "validation")
              .otherwise("test"))
-    return ranked.withColumn("split", label).drop("_n", "shuffle_rank")
+    return ranked.withColumn("split", label).drop("shuffle_rank")
 
 
 def draw(i: Column, seed: int, n, salt: str) -> Column:
@@ -200,7 +203,7 @@ def augment(df: DataFrame, key: str = "pair_id", factor: float = 1.5, seed: int
     variant = F.get(F.array(*[F.lit(v) for v in VARIANTS]), draw(i, seed, F.lit(len(VARIANTS)), "variant").cast("int"))
     draws = df.sparkSession.range(extra).select(
         draw(i, seed, F.lit(n), "row").alias("shuffle_rank"), technique.alias("_k"), variant.alias("_variant"))
-    picked = hash_rank(df, key, seed).join(draws, "shuffle_rank")
+    picked = hash_rank(df, key, n, seed).join(draws, "shuffle_rank")
     question = F.when(F.col("_k") == 0, paraphrase("question")).otherwise(F.col("question"))
     sql = F.when(F.col("_k") == 1, sql_variant("sql", "_variant")).when(F.col("_k") == 2, alias_aggregate("sql")).otherwise(F.col("sql"))
     origin = F.get(F.array(F.lit("paraphrase"), F.lit("format"), F.lit("alias")), F.col("_k").cast("int"))

@@ -34,6 +34,10 @@ def cat04(t):
     return catalog.edge_lines(edges_catalog(t))
 
 
+def cat04_text(t):
+    return catalog.schema_graph(edges_catalog(t))
+
+
 def cat05(t):
     return union_all([catalog.schema_text(columns_catalog(t), s).withColumn("style", F.lit(s)) for s in catalog.STYLES])
 

@@ -338,7 +338,16 @@ def cht15(t):
 
 def snk08(t):
     """Per-question table of the results mart."""
-    return all_rounded(an.results_mart(eval_rows(t).withColumn("question_id", F.floor(F.col("question_id") / 5)))["questions"])
+    return all_rounded(an.results_mart(grouped_runs(t), TECHNIQUES)["questions"])
+
+
+def snk08_results(t):
+    return all_rounded(an.results_mart(grouped_runs(t))["results"])
+
+
+def grouped_runs(t):
+    """Five consecutive events belong to one question."""
+    return eval_rows(t).withColumn("question_id", F.floor(F.col("question_id") / 5))
 
 
 def snk08_summary(t):

@@ -1,7 +1,9 @@
 """Values the reference's own tests assert, and properties of the operators."""
 
 import math
+import os
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from querywright.functions.stats import incomplete_beta
 from querywright.operators import analytics, charts, clean, evaluate, guard, models, profile, prompts
 from querywright.operators import catalog
 from querywright.sources import pairs, tables as src
+from querywright.streaming import history
 
 
 def one(spark, column, **values):
@@ -146,11 +149,35 @@ def test_jdbc_options():
         src.jdbc_options("jdbc:x", "t", "id")
 
 
-def test_schema_graph_limit(spark):
-    e = spark.createDataFrame([("o", "c", "k", "id"), ("l", "o", "o", "id")], "table_name string, column_name string, ref_table string, ref_column string")
-    assert catalog.schema_graph(e).first().schema_graph == "l.o → o.id\no.c → k.id"
-    with pytest.raises(ValueError):
-        catalog.schema_graph(e, max_edges=1)
+def test_schema_graph(spark):
+    e = spark.createDataFrame([("o", "c", "k", "id"), ("l", "o", "o", "id"), ("l", "a", "o", "id")],
+                              "table_name string, column_name string, ref_table string, ref_column string")
+    got = {r.table_name: r.schema_graph for r in catalog.schema_graph(e).collect()}
+    assert got == {"l": "l.a → o.id\nl.o → o.id", "o": "o.c → k.id"}
+
+
+def test_results_mart_keeps_every_technique(spark):
+    rows = spark.range(3000).select((F.col("id") % 2).alias("question_id"), F.concat(F.lit("t"), F.floor(F.col("id") / 2)).alias("technique"),
+                                    F.lit(0.5).alias("bleu_score"), F.lit(0.25).alias("confidence_score"))
+    assert analytics.question_results(rows).count() == 3000
+    wide = analytics.wide_results(rows, ["t0", "t1499"])
+    assert wide.columns == ["question_id", "t0_bleu_score", "t0_confidence_score", "t1499_bleu_score", "t1499_confidence_score"]
+    assert wide.count() == 2
+
+
+def test_history_takes_files_in_any_order(spark, tables, tmp_path):
+    """Newest file first, one per micro-batch, and a copy that comes days later."""
+    events = tables.events.orderBy("ts").toPandas()
+    third = -(-len(events) // 3)
+    late = events.iloc[:1].assign(ts=events.ts.iloc[0] + pd.Timedelta(days=3))
+    for place, part in enumerate([pd.concat([events.iloc[2 * third:], late]), events.iloc[third:2 * third], events.iloc[:third]]):
+        path = tmp_path / f"events{place}.parquet"
+        part.to_parquet(path, coerce_timestamps="us")
+        os.utime(path, (1_600_000_000 + place, 1_600_000_000 + place))
+    stream = history.read_events(spark, str(tmp_path), files_per_trigger=1)
+    history.append_history(stream, str(tmp_path / "table"), str(tmp_path / "checkpoint")).awaitTermination()
+    got = sorted(r.event_id for r in spark.read.parquet(str(tmp_path / "table")).collect())
+    assert got == sorted(events.event_id)
 
 
 def test_unknown_strategy():
