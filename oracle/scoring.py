@@ -210,8 +210,27 @@ k AS (SELECT *, rank() OVER (PARTITION BY a, b ORDER BY v) + (count(*) OVER (PAR
 s AS (SELECT a, b, sum(mid) FILTER (technique = a) AS r1, CAST(count(*) FILTER (technique = a) AS DOUBLE) AS n1, CAST(count(*) FILTER (technique = b) AS DOUBLE) AS n2 FROM k GROUP BY 1, 2),
 ties AS (SELECT a, b, sum(CAST(c AS DOUBLE) ** 3 - c) AS t FROM (SELECT a, b, v, count(*) AS c FROM r GROUP BY 1, 2, 3) GROUP BY 1, 2),
 u AS (SELECT *, r1 - n1 * (n1 + 1) / 2 AS u1 FROM s JOIN ties USING (a, b))
-SELECT a, b, 'response_time' AS metric, round(u1, 6) AS u_statistic,
-  round((greatest(u1, n1 * n2 - u1) - n1 * n2 / 2 - 0.5) / sqrt(n1 * n2 / 12 * (n1 + n2 + 1 - t / ((n1 + n2) * (n1 + n2 - 1)))), 6) AS z FROM u"""
+SELECT a, b, 'response_time' AS metric, u1 AS u_statistic,
+  (greatest(u1, n1 * n2 - u1) - n1 * n2 / 2 - 0.5) / sqrt(n1 * n2 / 12 * (n1 + n2 + 1 - t / ((n1 + n2) * (n1 + n2 - 1)))) AS z FROM u"""
+
+
+
+def simpson(top, density):
+    """Two-sided tail beyond ``top``: Simpson's rule over 2,000 steps from 0 to it."""
+    return (f"(SELECT greatest(0.0, 1 - 2 * sum(CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * ({density.format(x=f'({top} * i / 2000.0)')})) "
+            f"* {top} / 6000) FROM range(2001) g(i))")
+
+
+SIGNIFICANCE = f"""
+WITH {t_test('response_time', "WHERE response_time <> CAST('Infinity' AS DOUBLE)").strip()},
+un AS ({U_TEST}),
+x AS (SELECT tt.*, u_statistic, abs(t_statistic) AS ta, z, sample_size_a + sample_size_b - 2 AS v FROM tt JOIN un USING (a, b)),
+d AS (SELECT *, exp(lgamma((v + 1) / 2.0) - lgamma(v / 2.0)) / sqrt(v * pi()) AS front FROM x),
+p AS (SELECT *, {simpson('ta', 'front * pow(1 + {x} * {x} / v, -(v + 1) / 2.0)')} AS t_pvalue,
+  CASE WHEN z <= 0 THEN 1.0 ELSE {simpson('z', 'exp(-{x} * {x} / 2) / sqrt(2 * pi())')} END AS u_pvalue FROM d)
+SELECT a, b, metric, sample_size_a, sample_size_b, {', '.join(f'round({c}, 6) AS {c}' for c in
+  ('u_statistic', 'mean_a', 'mean_b', 'std_a', 'std_b', 't_statistic', 'cohens_d', 't_pvalue', 'u_pvalue'))},
+  least(t_pvalue, u_pvalue) < 0.05 AS significant_at_05, least(t_pvalue, u_pvalue) < 0.01 AS significant_at_01 FROM p"""
 
 STRICT = f"CAST(upper({strip('coalesce(predicted_sql, ' + chr(39) * 2 + ')')}) = upper({strip('coalesce(truth_sql, ' + chr(39) * 2 + ')')}) AS DOUBLE)"
 TECH = f"""
@@ -303,7 +322,8 @@ UNION ALL SELECT 'fewer', unnest(['set', 'bag']), (SELECT count(*) FROM k) = (SE
                                       longform(CONFS, "confidence", "log"), longform({"count": "count", "accuracy": "accuracy"}, "complexity", COMPLEX, "complexity"),
                                       longform(TYPES_, "query_type", TYPED, "query_type", "GROUP BY query_type")])),
     "ANA09": with_("eval_rows", f"WITH {t_test('bleu_score').strip()} SELECT a, b, metric, sample_size_a, sample_size_b, " + ", ".join(f"round({c}, 6) AS {c}" for c in ("mean_a", "mean_b", "std_a", "std_b", "t_statistic", "cohens_d")) + " FROM tt"),
-    "ANA10": with_("eval_rows", U_TEST),
+    "ANA10": with_("eval_rows", f"SELECT a, b, metric, round(u_statistic, 6) AS u_statistic, round(z, 6) AS z FROM ({U_TEST})"),
+    "ANA11": with_("eval_rows", SIGNIFICANCE),
     "ANA12": log_(f"WITH tech AS ({TECH}) SELECT technique, total_queries, non_empty_predictions, " + ", ".join(f"round({c}, 6) AS {c}" for c in ("execution_accuracy", "exact_match_accuracy", "schema_compliance_rate", "avg_bleu_score", "avg_response_time", "response_time_std", "avg_time_ok", "avg_confidence", "confidence_std", "success_rate", "prediction_length_avg", "median_response_time")) + " FROM tech"),
     "ANA13": log_(f"SELECT technique, round(coalesce({corr('confidence_score', STRICT)}, 0), 6) AS confidence_accuracy_correlation FROM log GROUP BY 1"),
     "ANA14": log_(f"WITH tech AS ({TECH}), sc AS ({SCORES}) SELECT technique AS best_technique, round(score, 6) AS score FROM sc ORDER BY score DESC, technique LIMIT 1"),

@@ -12,12 +12,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from querywright.functions.sqltext import contains_any, text, tokens, word_set, words
-from querywright.scale import broadcast_if, estimated_bytes, few_rows, top_k
+from querywright.scale import broadcast_if, few_rows, fits, running_totals, top_k
 
 K1, B, EPSILON = 1.5, 0.75, 0.25
 SCORE_DIGITS = 9  # scores equal to this many digits rank by id
 QUERY_BLOCK = 4096  # queries scored against one block of vectors
 TILE_BYTES = 64 << 20
+SCORE_ROWS = 512  # vectors scored at once
 
 # Intent words of a query and the words that show the context covers them.
 COVERAGE = (
@@ -94,22 +95,38 @@ def _unit(column: pd.Series) -> np.ndarray:
     return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
 
 
-def _best(ids, vectors, qids, queries, k) -> pd.DataFrame:
-    """Candidates for the k best of each query in one block, ties at the cut included."""
-    scores = np.round(vectors @ queries.T, SCORE_DIGITS)
-    if len(ids) > k:
-        cut = np.partition(scores, len(ids) - k, axis=0)[len(ids) - k]
-        rows, cols = np.nonzero(scores >= cut)
-    else:
-        rows, cols = (a.ravel() for a in np.indices(scores.shape))
-    return pd.DataFrame({"qid": qids[cols], "id": ids[rows], "score": scores[rows, cols]})
+def _best(parts, qids, queries, k) -> pd.DataFrame:
+    """The best k of each query over all (ids, embeddings) in ``parts``, ties by id. Vectors are scored in blocks of
+    SCORE_ROWS, so a task holds one block of scores (16 MB for 4,096 queries) and k rows per query, whatever it reads; a
+    block of nothing but ties adds two million short rows to that while it is merged."""
+    held, floor = None, np.full(len(qids), -np.inf)
+    for ids, embeddings in parts:
+        for start in range(0, len(ids), SCORE_ROWS):
+            some = ids[start:start + SCORE_ROWS]
+            scores = np.round(_unit(embeddings[start:start + SCORE_ROWS]) @ queries.T, SCORE_DIGITS)
+            cut = floor
+            if len(some) > k:
+                cut = np.maximum(floor, np.partition(scores, len(some) - k, axis=0)[len(some) - k])
+            rows, cols = np.nonzero(scores >= cut)
+            if not len(rows):
+                continue
+            fresh = pd.DataFrame({"q": cols, "id": some[rows], "score": scores[rows, cols]})
+            held = fresh if held is None else pd.concat([held, fresh], ignore_index=True)
+            held = held.sort_values(["q", "score", "id"], ascending=[True, False, True]).groupby("q").head(k)
+            last = held.groupby("q")["score"].agg(["size", "min"])
+            full = last[last["size"] == k]
+            floor[full.index.to_numpy()] = full["min"].to_numpy()
+    if held is None:
+        return pd.DataFrame({"qid": [], "id": [], "score": []})
+    return pd.DataFrame({"qid": qids[held["q"].to_numpy()], "id": held["id"].to_numpy(), "score": held["score"].to_numpy()})
 
 
 def dense_topk(docs: DataFrame, queries: DataFrame, k: int, block: int = QUERY_BLOCK) -> DataFrame:
     """(qid, id, score, rank): exact cosine ranking.
 
-    A batch of at most ``block`` queries travels to the vectors, which are scored where they are and
-    only shuffle their best k. A larger batch is joined in tiles of bounded size on both sides."""
+    A batch of at most ``block`` queries travels to the vectors, which are scored where they are; every task sends on its
+    best k per query once. A larger batch is joined in tiles of at most TILE_BYTES of vectors and ``block`` queries; their
+    number follows from a count of the vectors."""
     vectors = docs.filter(F.col("embedding").isNotNull()).select("id", "embedding")
     asked = queries.filter(F.col("embedding").isNotNull()).select("qid", "embedding")
     schema = f"qid {dict(asked.dtypes)['qid']}, id {dict(vectors.dtypes)['id']}, score double"
@@ -120,13 +137,11 @@ def dense_topk(docs: DataFrame, queries: DataFrame, k: int, block: int = QUERY_B
         qids, matrix = few["qid"].to_numpy(), _unit(few["embedding"])
 
         def score(batches):
-            for batch in batches:
-                for start in range(0, len(batch), 2048):
-                    part = batch.iloc[start:start + 2048]
-                    yield _best(part["id"].to_numpy(), _unit(part["embedding"]), qids, matrix, k)
+            yield _best(((b["id"].to_numpy(), b["embedding"]) for b in batches), qids, matrix, k)
         found = vectors.mapInPandas(score, schema)
     else:
-        rows = max(1, math.ceil(estimated_bytes(vectors) / TILE_BYTES))
+        tile_rows = max(1, TILE_BYTES // (8 * max(1, len(few["embedding"].iloc[0]))))
+        rows = max(1, math.ceil(vectors.count() / tile_rows))
         cols = math.ceil(asked.count() / block)
 
         def every(n):
@@ -138,7 +153,7 @@ def dense_topk(docs: DataFrame, queries: DataFrame, k: int, block: int = QUERY_B
         def tile(v: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
             if v.empty or q.empty:
                 return pd.DataFrame({"qid": [], "id": [], "score": []})
-            return _best(v["id"].to_numpy(), _unit(v["embedding"]), q["qid"].to_numpy(), _unit(q["embedding"]), k)
+            return _best([(v["id"].to_numpy(), v["embedding"])], q["qid"].to_numpy(), _unit(q["embedding"]), k)
         found = left.groupBy("_r", "_c").cogroup(right.groupBy("_r", "_c")).applyInPandas(tile, schema)
     return top_k(found, ["qid"], [F.desc("score"), F.asc("id")], k)
 
@@ -260,11 +275,13 @@ def retrieval_report(scores: DataFrame, ranked: DataFrame, docs: DataFrame, targ
         "target_achieved", F.col("avg_relevance") >= target)
 
 
-def retrieval_series(scores: DataFrame, times: DataFrame | None = None) -> DataFrame:
+def retrieval_series(scores: DataFrame, times: DataFrame | None = None, distributed: bool | None = None) -> DataFrame:
     """Relevance in percent (and milliseconds, when measured) by question ordinal. The ordinal is
-    the order of ``qid``; the series has one point per query of a batch."""
-    w = Window.orderBy("qid")
-    out = scores.select("qid", F.row_number().over(w).cast("long").alias("ordinal"), (F.col("relevance") * 100).alias("relevance_percent"))
+    the order of ``qid``; the series has one point per query. Large batches are ranked in ranges of ``qid``."""
+    if distributed is None:
+        distributed = not fits(scores)
+    ranked = running_totals(scores.withColumn("n", F.lit(1)), [], "qid", distributed)
+    out = ranked.select("qid", (F.col("before") + 1).alias("ordinal"), (F.col("relevance") * 100).alias("relevance_percent"))
     if times is None:
         return out
     return out.join(times.select("qid", (F.col("response_time") * 1000).alias("time_ms")), "qid")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from querywright.functions import sqltext as st
-from querywright.functions.stats import incomplete_beta
+from querywright.functions.stats import LARGE_DOF, incomplete_beta, student_tails
 from querywright.operators import analytics, charts, clean, evaluate, guard, models, profile, prompts
 from querywright.operators import catalog
 from querywright.sources import pairs, tables as src
@@ -198,6 +198,13 @@ def test_student_tail():
     assert incomplete_beta(0.5, 0.5, 0.5) == pytest.approx(0.5, abs=1e-12)
 
 
+def test_student_tail_of_large_samples():
+    for t in (0.1, 1.0, 3.0):                # no step at the border
+        assert student_tails(t, 0.999 * LARGE_DOF) == pytest.approx(student_tails(t, 1.001 * LARGE_DOF), rel=1e-7)
+    assert student_tails(1.0, 1e11) == pytest.approx(0.3173105, abs=1e-7)
+    assert student_tails(0.0, 1e11) == 1.0
+
+
 def test_calibration_is_guarded(spark):
     df = spark.createDataFrame([("x", 0.5, True), ("x", 0.5, False), ("y", 0.1, True)], "technique string, confidence_score double, execution_correct boolean")
     assert {r.technique: r.calibration_score for r in analytics.calibration_by(df, ["technique"]).collect()} == {"x": 0.0, "y": 0.0}

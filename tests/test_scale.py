@@ -87,6 +87,28 @@ def test_dense_tiles_equal_broadcast(tables):
     assert sorted(map(tuple, near)) == sorted(map(tuple, far)) and len(near) == 250
 
 
+def test_dense_ties_and_small_tiles(spark, monkeypatch):
+    """Equal vectors over several score blocks and tiles rank by id on both paths."""
+    vecs = spark.range(3000).select("id", F.array((F.col("id") % 3 + 1).cast("double"), F.lit(1.0)).alias("embedding"))
+    asked = spark.range(9).select(F.col("id").alias("qid"), F.array(F.lit(1.0), F.lit(1.0)).alias("embedding"))
+    want = [(q, i * 3, i + 1) for q in range(9) for i in range(4)]
+    monkeypatch.setattr(retrieve, "TILE_BYTES", 16 * 700)
+    for block in (100, 4):
+        got = retrieve.dense_topk(vecs, asked, 4, block).select("qid", "id", "rank").collect()
+        assert sorted(map(tuple, got)) == want
+    assert retrieve.dense_topk(vecs.filter("id < 0"), asked, 4).isEmpty()
+    assert retrieve.dense_topk(vecs.filter("id < 0"), asked, 4, 4).isEmpty()
+
+
+def test_series_ordinals(spark):
+    scores = spark.range(500).select((F.col("id") * 7 % 1000).alias("qid"), (F.col("id") / 500).alias("relevance"))
+    near, far = (retrieve.retrieval_series(scores, distributed=d) for d in (False, True))
+    assert near.schema == far.schema and rows(near) == rows(far)
+    assert [o for _, o, _ in rows(near)] == list(range(1, 501))
+    times = scores.select("qid", F.lit(0.25).alias("response_time"))
+    assert {r.time_ms for r in retrieve.retrieval_series(scores, times).collect()} == {250.0}
+
+
 def test_bm25_against_brute_force(spark):
     docs = ["a b c a", "b b d", "a", "e f g h a", "c c c b"]
     df = spark.createDataFrame(list(enumerate(docs)), "id long, content string")
