@@ -6,17 +6,22 @@
    region with more than REGION classes is divided by the next hashes of its order, and again until it fits: the depth adapts
    to each region, and the number of orders makes up for it.
 3. In a region the leaves lie in signature order. Neighbours with a long common prefix are candidates, in windows of NEAR
-   leaves; in a region wider than the window every leaf also meets the region's medoid, the leaf that agrees best with the
-   majority hash of every place (the original of a group of edited copies). Leaves whose neighbours are all but equal are
+   leaves; in a region wider than the window every leaf also meets the medoid of the region, and of the undivided one: the
+   leaf that agrees best with the majority hash of every place (the original of a group of edited copies). Leaves whose neighbours are all but equal are
    linked to the next one only, so a group of n near copies gives a few times n candidates, never n squared.
 4. Candidates with a plausible signature agreement are checked on their full shingle sets, in two rounds: first the pairs
    with a medoid and the next neighbours in narrow regions, then those of the others whose ends are still in different
    components. Links are joined to components by minimum labels with pointer jumping.
+5. Dividing, windows and medoids only make links early; they decide nothing. In each region of first depth that they did not
+   cover pair by pair, all pairs of leaves in different components are compared by sketch and by a fine sketch of BINS
+   bytes, in tiles of TILE x TILE leaves, and the plausible ones are checked on their full sets: first each leaf's best.
 
-At the threshold of 0.75 a pair misses all 16 regions of two hashes with probability (1 - 0.75 ** 2) ** 16 < 2e-6.
+At the threshold of 0.75 a pair misses all 16 regions of two hashes with probability (1 - 0.75 ** 2) ** 16 < 2e-6; a sketch
+refuses it with the chance of four standard errors, 3e-5.
 
-Skew: equal sets are pre-aggregated; regions are bounded by REGION; the joins are equi-joins that adaptive execution can
-split. Nothing is collected to the driver but the number of changed labels per round.
+Skew: equal sets are pre-aggregated; no task holds more than a divided region or a tile; the joins are equi-joins that
+adaptive execution can split. The tiles of a family of k documents that share much text and are no copies grow with k squared
+in time (not in memory): that is the price of missing none of its pairs. Nothing is collected to the driver but counts.
 
 Edge cases: null, empty and blank texts have an empty set, link with nothing and are kept; a null id takes part in nothing
 and is kept; repeated rows of an id are one document with the largest of its sets; other columns pass through unchanged."""
@@ -42,6 +47,8 @@ NEAR = 8                  # leaves a leaf looks ahead
 PLAUSIBLE = 0.53          # estimated similarity of a candidate: the threshold less four standard errors
 CERTAIN = 0.92            # neighbours of this estimate need no further partners in their window
 CHUNK = 1 << 13
+TILE = 2048               # leaves in a block of a wide region
+BINS = 512                # bytes of a fine sketch
 BROADCAST_IDS = 500_000   # documents in question that are sent to the scan; more meet the texts in a join
 
 _rng = np.random.default_rng(7)
@@ -95,8 +102,8 @@ def features(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width:
     return docs.select(F.col(id_col).alias("doc_id"), _features(width)(F.col(text)).alias("f")).select("doc_id", "f.*")
 
 
-def leaves(classes: DataFrame, region: int = REGION) -> DataFrame:
-    """(region, label, id): the leaves of all orders, in regions of bounded size. ``label`` is the sketch in the order's
+def forest(classes: DataFrame) -> DataFrame:
+    """(region, label, id): the leaves of all orders in their regions of first depth. ``label`` is the sketch in the order's
     sequence. The orders of a class are made in one place, so a class is stored once per order and no more."""
     def run(batches):
         for batch in batches:
@@ -111,7 +118,12 @@ def leaves(classes: DataFrame, region: int = REGION) -> DataFrame:
                     names=["region", "label", "id"])
 
     # the classes are stored; their leaves follow from them and are cheaper to make again than to keep
-    rows = classes.select("id", "sketch", "heads").mapInArrow(run, "region long, label binary, id long")
+    return classes.select("id", "sketch", "heads").mapInArrow(run, "region long, label binary, id long")
+
+
+def leaves(classes: DataFrame, region: int = REGION) -> DataFrame:
+    """The leaves of all orders, in regions of bounded size. What a border parts is left to ``hubs`` and ``remainder``."""
+    rows = forest(classes)
     for depth, deeper in zip(DEPTHS, DEPTHS[1:]):
         wide = rows.groupBy("region").count().filter(F.col("count") > region).select("region", F.lit(True).alias("wide"))
         wide = settle(wide)
@@ -121,7 +133,7 @@ def leaves(classes: DataFrame, region: int = REGION) -> DataFrame:
         rows = settle(rows.join(wide, "region", "left").select(
             F.when(F.col("wide"), F.xxhash64("region", F.substring("label", depth + 1, deeper - depth)))
             .otherwise(F.col("region")).alias("region"), "label", "id"))
-    # leaves with one label throughout: any chain through them is as good, so they are divided by number
+    # leaves with one label throughout are divided by number
     hold = Window.partitionBy("region").orderBy("id")
     return rows.withColumn("region", F.xxhash64("region", F.floor(F.row_number().over(hold) / region)))
 
@@ -190,6 +202,142 @@ def _pairs(table: pa.Table, near: int):
     yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in found], names=["a", "b", "turn"])
 
 
+def wide_regions(classes: DataFrame, near: int = NEAR) -> DataFrame:
+    """(region, n): the regions of first depth in which not every pair of leaves is a candidate."""
+    return forest(classes).groupBy("region").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > near + 1)
+
+
+def _likeness(a: pa.Array, b: pa.Array) -> pa.Array:
+    x, y = (np.frombuffer(b"".join(v.to_pylist()), np.uint8).reshape(-1, PLACES) for v in (a, b))
+    return pa.array(_agreement(x, y), pa.float64())
+
+
+def hubs(rows: DataFrame, wide: DataFrame, region: int = REGION) -> DataFrame | None:
+    """(a, b, turn): every leaf of an undivided region above ``region`` leaves with the region's medoid. The majority is taken
+    over an even part of the leaves, the medoid over all of them."""
+    big = settle(wide.filter(F.col("n") > region))
+    if big.isEmpty():
+        return None
+
+    def majority(table: pa.Table) -> pa.Table:
+        block = np.frombuffer(b"".join(table["label"].to_pylist()), np.uint8).reshape(-1, PLACES)
+        votes = np.bincount((block + np.arange(PLACES) * 256).ravel(), minlength=256 * PLACES).reshape(PLACES, 256)
+        return pa.table({"region": table["region"][:1], "most": pa.array([votes.argmax(axis=1).astype(np.uint8).tobytes()])})
+
+    likeness = F.arrow_udf(_likeness, "double")
+    held = settle(rows.join(big, "region"))
+    part = held.filter(F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / region)) == 0).select("region", "label")
+    most = settle(part.groupBy("region").applyInArrow(majority, "region long, most binary"))
+    medoids = settle(held.join(most, "region").select("region", "id", "label", likeness("label", "most").alias("like"))
+                     .groupBy("region").agg(F.max(F.struct("like", "id", "label")).alias("m"))
+                     .select("region", F.col("m.id").alias("hub"), F.col("m.label").alias("most")))
+    return (held.join(medoids, "region").filter(F.col("id") != F.col("hub"))
+            .select("id", "hub", likeness("label", "most").alias("like")).filter(F.col("like") >= PLAUSIBLE)
+            .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"), F.lit(0).cast("long").alias("turn")).distinct())
+
+
+def fine_sketch(items: np.ndarray) -> bytes:
+    """One byte for the least hash in each of BINS parts of the hash range; zero for a part without any."""
+    hashes = np.sort(mix(items))
+    parts, first = np.unique(hashes >> np.uint64(64 - BINS.bit_length() + 1), return_index=True)
+    out = np.zeros(BINS, np.uint8)
+    out[parts.astype(np.int64)] = (hashes[first] % np.uint64(255) + np.uint64(1)).astype(np.uint8)
+    return out.tobytes()
+
+
+def fine_sketches(docs: DataFrame, asked: DataFrame, id_col: str, text: str, width: int) -> DataFrame:
+    """(id, fine) of the asked ids."""
+    def run(texts: pa.Array) -> pa.Array:
+        n, fine = [], []
+        for start in range(0, len(texts), 256):
+            sets = shingle_sets(texts.slice(start, 256).to_pylist(), width)
+            n += [len(s) for s in sets]
+            fine += [fine_sketch(s) for s in sets]
+        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(fine, pa.binary())], names=["n", "fine"])
+
+    asked = F.broadcast(asked) if asked.count() <= BROADCAST_IDS else asked
+    found = docs.select(F.col(id_col).alias("id"), F.col(text).alias("_text")).join(asked, "id", "left_semi")
+    made = found.select("id", F.arrow_udf(run, "struct<n long, fine binary>").asNondeterministic()("_text").alias("f"))
+    return made.groupBy("id").agg(F.max("f").alias("f")).select("id", "f.fine")
+
+
+def tile_pairs(left, right, similar: int = SIMILAR) -> tuple[np.ndarray, ...]:
+    """Candidates (a, b, turn) between two blocks (labels, fine, ids, component), or inside one (``right`` is None): all pairs of
+    different components with plausible sketches. Turn 0 is each leaf's best."""
+    one = right is None
+    right = left if one else right
+    share, out = similar / 100, []
+    step = max(1, (1 << 25) // (PLACES * max(len(right[2]), 1)))
+    for start in range(0, len(left[2]), step):
+        stop = min(start + step, len(left[2]))
+        ask = _agreement(left[0][start:stop, None], right[0][None]) >= PLAUSIBLE
+        ask &= left[3][start:stop, None] != right[3][None]
+        if one:
+            ask &= np.arange(len(right[2]))[None] > np.arange(start, stop)[:, None]
+        i, j = np.nonzero(ask)
+        i += start
+        for at in range(0, len(i), 1 << 15):
+            x, y = i[at:at + (1 << 15)], j[at:at + (1 << 15)]
+            f, g = left[1][x], right[1][y]
+            used = ((f > 0) | (g > 0)).sum(axis=1)
+            same = ((f == g) & (f > 0)).sum(axis=1) / np.maximum(used, 1)
+            good = same >= share - 4 * np.sqrt(share * (1 - share) / np.maximum(used, 1))
+            out.append((x[good], y[good], same[good]))
+    if not out:
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    x, y, same = (np.concatenate(c) for c in zip(*out))
+    turn = np.ones(len(x), np.int64)
+    for ends in (x, y):
+        order = np.lexsort((-same, ends))
+        turn[order[np.append(True, ends[order][1:] != ends[order][:-1])] if len(order) else order] = 0
+    a, b = left[2][x], right[2][y]
+    return np.minimum(a, b), np.maximum(a, b), turn
+
+
+def remainder(docs: DataFrame, rows: DataFrame, wide: DataFrame, named: DataFrame, id_col: str, text: str, width: int,
+              similar: int, best: bool = False, tile: int = TILE) -> DataFrame | None:
+    """(a, b, turn): the candidates of wide regions that windows and medoids left out: all pairs of leaves of one region of first
+    depth that lie in different components so far (``named``: id, component). A region is dealt into blocks and every two blocks
+    meet in a task; blocks of one large component do not meet each other, and a region with one component is done. ``best``: only
+    the pairs of turn 0, whose links leave fewer components for the next call."""
+    held = settle(rows.join(wide.select("region"), "region", "left_semi").join(named, "id"))
+    counts = settle(held.groupBy("region", "component").agg(F.count(F.lit(1)).alias("c")))
+    mixed = counts.groupBy("region").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("region")
+    group = F.when(F.col("c") > tile, F.col("component").cast("string")).otherwise("")
+    counts = settle(counts.join(mixed, "region").withColumn("group", group))
+    if counts.isEmpty():
+        return None
+    parts = counts.groupBy("region", "group").agg(F.ceil(F.sum("c") / tile).cast("int").alias("parts"))
+    parts = settle(parts)
+    held = settle(held.join(counts.select("region", "component", "group"), ["region", "component"]).join(parts, ["region", "group"])
+                  .select("region", F.struct("group", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")).alias("block"),
+                          "id", "label", "component"))
+    blocks = parts.select("region", F.explode(F.transform(
+        F.sequence(F.lit(0), F.col("parts") - 1), lambda n: F.struct(F.col("group"), n.alias("part")))).alias("x"))
+    meet = blocks.join(blocks.withColumnRenamed("x", "y"), "region").filter(
+        (F.col("x") <= F.col("y")) & ((F.col("x.group") != F.col("y.group")) | (F.col("x.group") == "")))
+    meet = settle(meet)
+    sides = (meet.select("region", "x", "y", F.col("x").alias("block"), F.lit(0).alias("side"))
+             .unionByName(meet.filter("x <> y").select("region", "x", "y", F.col("y").alias("block"), F.lit(1).alias("side"))))
+    fine = settle(fine_sketches(docs, settle(held.select("id").distinct()), id_col, text, width))
+
+    def run(table: pa.Table) -> pa.Table:
+        side = table["side"].to_numpy()
+        wholes = (np.frombuffer(b"".join(table["label"].to_pylist()), np.uint8).reshape(-1, PLACES),
+                  np.frombuffer(b"".join(table["fine"].to_pylist()), np.uint8).reshape(-1, BINS),
+                  table["id"].to_numpy(), table["component"].to_numpy())
+        left = [v[side == 0] for v in wholes]
+        right = [v[side == 1] for v in wholes] if table["paired"][0].as_py() else None
+        a, b, turn = tile_pairs(left, right, similar)
+        keep = turn == 0 if best else turn >= 0
+        return pa.table({"a": pa.array(a[keep], pa.int64()), "b": pa.array(b[keep], pa.int64()), "turn": pa.array(turn[keep], pa.int64())})
+
+    met = held.join(fine, "id").join(sides, ["region", "block"]).select(
+        "region", "x", "y", "side", (F.col("x") != F.col("y")).alias("paired"), "id", "label", "fine", "component")
+    return met.groupBy("region", "x", "y").applyInArrow(run, "a long, b long, turn long").groupBy("a", "b").agg(F.min("turn").alias("turn"))
+
+
 def links(docs: DataFrame, pairs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH,
           similar: int = SIMILAR) -> DataFrame:
     """The pairs whose full shingle sets are similar enough. Sets are made again for the documents in question only."""
@@ -229,9 +377,12 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("label", "component")
 
 
-def all_links(docs: DataFrame, pairs: DataFrame, id_col: str, text: str, width: int, similar: int) -> DataFrame:
-    """Links (a, b) that join what the candidates can join: a pair whose ends earlier links have joined is not checked."""
-    first = settle(links(docs, pairs.filter("turn = 0").select("a", "b"), id_col, text, width, similar))
+def all_links(docs: DataFrame, pairs: DataFrame, id_col: str, text: str, width: int, similar: int,
+              known: DataFrame | None = None) -> DataFrame:
+    """Links (a, b), with the ``known`` ones, that join what the candidates can join: a pair whose ends earlier links have
+    joined is not checked."""
+    first = links(docs, pairs.filter("turn = 0").select("a", "b"), id_col, text, width, similar)
+    first = settle(first if known is None else first.unionByName(known))
     reach = components(first)
     of = lambda end: reach.select(F.col("id").alias(end), F.col("component").alias(f"c{end}"))
     rest = (pairs.filter("turn > 0").join(of("a"), "a", "left").join(of("b"), "b", "left")
@@ -251,7 +402,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     full = single.filter("n > 0")
     classes = settle(full.groupBy("n", "sum", "fold").agg(
         F.min("doc_id").alias("id"), F.first("sketch").alias("sketch"), F.first("heads").alias("heads")))
-    reach = components(all_links(docs, settle(candidates(leaves(classes))), id_col, text, width, similar))
+    rules = (id_col, text, width, similar)
+    wide = settle(wide_regions(classes))
+    pairs = candidates(leaves(classes))
+    more = hubs(forest(classes), wide)
+    if more is not None:
+        pairs = pairs.unionByName(more).groupBy("a", "b").agg(F.min("turn").alias("turn"))
+    edges = settle(all_links(docs, settle(pairs), *rules))
+    reach = components(edges)
+    for best in (True, False):
+        so_far = classes.select("id").join(reach, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+        rest = remainder(docs, forest(classes), wide, so_far, *rules, best=best)
+        rest = rest if rest is None else settle(rest)
+        if rest is None or rest.isEmpty():
+            break
+        edges = settle(all_links(docs, rest, *rules, known=edges))
+        reach = components(edges)
     named = (classes.select("n", "sum", "fold", "id").join(reach, "id", "left")
              .select("n", "sum", "fold", F.coalesce("component", "id").alias("component")))
     out = (full.select("doc_id", "n", "sum", "fold").join(named, ["n", "sum", "fold"])

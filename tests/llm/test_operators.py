@@ -124,6 +124,38 @@ def test_near_dedup_divides_wide_regions(spark, docs, monkeypatch):
     assert rows.count() == near_dedup.ORDERS * (classes.count() + 40)
 
 
+def found_components(spark, rows):
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    return {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame).collect()}
+
+
+def edited(base, rnd, i, places):
+    words = list(base)
+    for k in places:
+        words[k] = f"v{i}x{rnd.randrange(10 ** 9)}"
+    return " ".join(words)
+
+
+def test_near_dedup_links_fifty_thousand_edited_copies(spark):
+    rnd, n = random.Random(2), 50_000
+    base = [f"w{k}" for k in range(100)]
+    # two words far apart are new: 86 of 106 shingles in common with the original, fewer between two copies
+    rows = [(0, " ".join(base))] + [(i, edited(base, rnd, i, (rnd.randrange(5, 45), rnd.randrange(55, 95)))) for i in range(1, n)]
+    rows += [(n + i, edited(base, rnd, n + i, range(100))) for i in range(500)]
+    got = found_components(spark, rows)
+    assert all(got[i] == 0 for i in range(n)) and all(got[n + i] == n + i for i in range(500))
+
+
+def test_near_dedup_finds_all_pairs_of_a_family(spark):
+    rnd, n, pairs = random.Random(3), 5000, 500
+    base = [f"w{k}" for k in range(100)]
+    texts = [edited(base, rnd, i, range(73, 100)).split() for i in range(n)]        # 69 of 123 shingles in common
+    for i in range(pairs):                                                         # 83 of 109
+        texts.append(edited(texts[i], rnd, n + i, range(87, 100)).split())
+    got = found_components(spark, [(i, " ".join(t)) for i, t in enumerate(texts)])
+    assert got == {i: i - n if i >= n else i for i in range(n + pairs)}
+
+
 def test_near_dedup_keeps_columns(odd, nothing):
     kept = near_dedup.keep_one(odd)
     assert kept.columns == odd.columns
