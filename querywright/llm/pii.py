@@ -1,6 +1,7 @@
 """Format-preserving pseudonyms for personal data.
 
-One pattern finds candidates; each is validated by its kind. Numbers and dates are replaced by a keyed Feistel permutation of
+One pattern finds candidates; each is validated by its kind. Values that stand side by side are one candidate, which is split
+at its blanks: of its valid runs those told by their shape go first, then the leftmost and longest. Numbers and dates are replaced by a keyed Feistel permutation of
 their own format: a bijection on all values of the format, so equal values get equal pseudonyms in every document, and two
 values never share one. Separators, signs and widths stay.
 
@@ -17,8 +18,8 @@ values never share one. Separators, signs and widths stay.
 A two-sided Feistel network over a x b needs no equal halves: left gains f(right) modulo a, right gains f(left) modulo b, in
 turn, with f from SHA-256 over key, kind, round and half. Everything is a SQL expression over the row; nothing is shuffled.
 
-Edge cases: null stays null; texts without candidates, null ids and repeated rows pass; a candidate that fails validation is
-left as it is; other columns pass through unchanged, whatever their names. The key is a parameter and should be secret."""
+Edge cases: null stays null; texts without candidates, null ids and repeated rows pass; a candidate of which no run between
+blanks is valid is left as it is; other columns pass through unchanged, whatever their names. The key is a parameter and should be secret."""
 
 from __future__ import annotations
 
@@ -35,12 +36,27 @@ EPOCH = "1500-01-01"
 PATTERNS = (
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"),
-    ("date", r"(?<![A-Za-z0-9.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?![A-Za-z0-9-])"),
+    ("date", r"(?<![A-Za-z0-9.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?![A-SU-Za-z0-9-]|T(?![0-9]{2}:))"),
     ("ip", r"(?<![A-Za-z0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![A-Za-z0-9]|\.[0-9])"),
     ("ssn", r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])"),
     ("number", r"(?<![A-Za-z0-9])(?:\+|\()?[0-9](?:[\x20().-]{0,2}[0-9]){7,18}(?![A-Za-z0-9])"),
 )
-ANY = "|".join(f"(?:{p})" for _, p in PATTERNS)
+# Candidates: numbers, and words beside an IBAN, are taken with all that follow them at a blank, and divided later
+_EMAIL, _DAY = r"(?![A-Za-z0-9._%+-]++@)", r"(?![0-9]{1,2}/[0-9]{1,2}/[0-9]{4})"
+_TOKEN = r"[0-9](?:[().-]{0,2}[0-9]){0,18}(?![A-Za-z0-9])"
+_NEXT = r"[().-]?\x20{1,2}" + _EMAIL + _DAY + r"[+().-]?" + _TOKEN
+_WORD = r"\x20{1,2}" + _EMAIL + _DAY + r"[A-Z0-9]++(?![A-Za-z0-9]|[.-][A-Za-z0-9])"
+RUNS = {
+    "number": rf"(?<![A-Za-z0-9])(?=[+(]?[0-9](?:[\x20().+-]{{0,4}}[0-9]){{7}})[+(]?{_TOKEN}(?:{_NEXT})*+",
+    "iban": rf"(?<![A-Za-z0-9])[A-Z]{{2}}[0-9]{{2}}(?=(?:\x20?[A-Z0-9]){{11}})[A-Z0-9]*+(?![A-Za-z0-9])(?:{_WORD}|{_NEXT})*+",
+}
+ANY = "|".join(f"(?:{RUNS.get(k, p)})" for k, p in PATTERNS)
+PIECE = r"(?<=\x20)(?=[^\x20])"
+LONGEST = 34              # characters of an IBAN: no value has more pieces
+# values that are told by their shape go before looser ones
+STRICT = "^(?:" + "|".join([r"[0-9]{13,19}", r"[0-9]{4}(?:[\x20-][0-9]{4}){3}", r"[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{5}", r"[A-Z]{2}[0-9]{2}[A-Z0-9\x20]*",
+                            r"(?:\+[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[.-][0-9]{4}",
+                            *(p for k, p in PATTERNS if k in ("date", "ip", "ssn"))]) + ")$"
 KINDS = ("email", "iban", "date", "ip", "ssn", "card", "phone")
 
 
@@ -210,16 +226,46 @@ def pseudonym(value: Column, key: str) -> Column:
     return F.coalesce(F.get(tries, F.lit(0)), F.struct(F.lit(None).cast("string").alias("kind"), value.alias("value")))
 
 
+def pieces(value: Column, key: str) -> Column:
+    """[(kind, value)]: a candidate in its parts. Runs of its pieces are valid or not; shapes go first, then from the left, then
+    the longest."""
+    def divided(p: Column) -> Column:
+        n = F.size(p)
+        runs = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.transform(
+            F.sequence(F.lit(1), F.least(F.lit(LONGEST), n - i)), lambda k: F.struct(
+                i.alias("at"), k.alias("k"), F.array_join(F.slice(p, i + 1, k), "").alias("raw")))))
+        short = F.transform(F.filter(runs, lambda r: F.char_length(r["raw"]) <= 3 * LONGEST), lambda r: F.struct(
+            r["at"].alias("at"), r["k"].alias("k"), F.regexp_extract(r["raw"], r"[^A-Za-z0-9]*$", 0).alias("tail"),
+            F.regexp_extract(r["raw"], r"^(.*?)[^A-Za-z0-9]*$", 1).alias("value")))
+        tried = F.filter(F.transform(short, lambda r: F.struct(
+            F.when(r["value"].rlike(STRICT), 0).otherwise(1).alias("loose"), r["at"].alias("at"), (-r["k"]).alias("less"),
+            r["tail"].alias("tail"), pseudonym(r["value"], key).alias("made"))), lambda r: r["made"]["kind"].isNotNull())
+        none = F.expr("CAST(array() AS array<struct<loose: int, at: int, less: int, tail: string, made: struct<kind: string, value: string>>>)")
+        taken = F.aggregate(F.array_sort(tried), none, lambda acc, r: F.when(
+            F.exists(acc, lambda t: (t["at"] < r["at"] - r["less"]) & (r["at"] < t["at"] - t["less"])), acc).otherwise(F.array_append(acc, r)))
+
+        def dealt(took: Column) -> Column:
+            return F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda i: let(
+                F.filter(took, lambda t: (t["at"] <= i) & (i < t["at"] - t["less"])), lambda over: F.when(
+                    F.size(over) == 0, F.array(F.struct(F.lit(None).cast("string").alias("kind"), F.get(p, i).alias("value"))))
+                .when(over[0]["at"] == i, F.array(F.struct(over[0]["made"]["kind"].alias("kind"), F.concat(
+                    over[0]["made"]["value"], over[0]["tail"]).alias("value"))))
+                .otherwise(F.expr("CAST(array() AS array<struct<kind: string, value: string>>)")))))
+        return let(taken, dealt)
+    return F.when(value.contains(" "), let(F.split(value, PIECE, -1), divided)).otherwise(F.array(pseudonym(value, key)))
+
+
 def pseudonymised(text: Column, key: str) -> Column:
     """(text, kinds): the text with its personal data replaced, and the kind of each replacement in order."""
     values = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    made = F.transform(values, lambda v: pseudonym(v, key))
+    made = F.transform(values, lambda v: pieces(v, key))
 
     def joined(m: Column) -> Column:
-        parts = F.transform(F.arrays_zip(F.split(text, ANY, -1).alias("gap"), F.transform(m, lambda x: x["value"]).alias("value")),
+        parts = F.transform(F.arrays_zip(F.split(text, ANY, -1).alias("gap"), F.transform(
+            m, lambda c: F.array_join(F.transform(c, lambda x: x["value"]), "")).alias("value")),
                             lambda z: F.concat(z["gap"], F.coalesce(z["value"], F.lit(""))))
         return F.struct(F.array_join(parts, "").alias("text"),
-                        F.filter(F.transform(m, lambda x: x["kind"]), lambda k: k.isNotNull()).alias("kinds"))
+                        F.filter(F.transform(F.flatten(m), lambda x: x["kind"]), lambda k: k.isNotNull()).alias("kinds"))
     none = F.struct(text.alias("text"), F.expr("CAST(array() AS array<string>)").alias("kinds"))
     # most texts hold no digit and no at sign, which is cheaper to see than the absence of a match
     return F.when(text.rlike("[0-9@]") & text.rlike(ANY), let(made, joined)).otherwise(none)

@@ -268,6 +268,22 @@ def test_pii_keeps_formats_and_links(spark):
     assert [g.text for g in got[8:]] == texts[8:] and not got[8].kinds
 
 
+ADJACENT = [
+    ("4111 1111 1111 1111 12/27", ["card"], " 12/27"), ("4111111111111111 123", ["card"], " 123"),
+    ("order 17 4111111111111111", ["card"], "order 17 "), ("4111111111111111 078-05-1120", ["card", "ssn"], " "),
+    ("555-123-4567 555-987-6543", ["phone", "phone"], " "), ("415-555-2671 2024-01-15", ["phone", "date"], " "),
+    ("(202) 555-0143 (202) 555-0144", ["phone", "phone"], ") "), ("4111111111111111 12/05/2024", ["card", "date"], " "),
+    ("GB82 WEST 1234 5698 7654 32 AND 4111 1111 1111 1111", ["iban", "card"], " AND "), ("at 2024-01-15T10:20:30", ["date"], "T10:20:30"),
+    ("4111111111111111 12ab@mail.com", ["card", "email"], " user-")]
+
+
+def test_pii_tells_adjacent_values_apart(spark):
+    frame = spark.createDataFrame([(t,) for t, _, _ in ADJACENT], "text string").coalesce(1)
+    for row, (text, kinds, stays) in zip(pii.pseudonymise(frame, "k").collect(), ADJACENT):
+        assert row.out.kinds == kinds and stays in row.out.text, (text, row.out)
+        assert "4111111111111111" not in row.out.text.replace(" ", "") and "415-555" not in row.out.text and "2024-01-15" not in row.out.text
+
+
 def test_pii_permutes(spark):
     numbers = spark.range(10_000).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("d"))
     made = numbers.select(pii.permuted_digits(F.col("d"), "k", "t").alias("v")).distinct().collect()
