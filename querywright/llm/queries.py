@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from querywright.llm import (exact_dedup, line_dedup, near_dedup, packing, pii, quality, secrets, sharding, token_counts,
-                             transcode)
+from querywright.llm import (alignment, exact_dedup, line_dedup, near_dedup, packing, pii, prefix_trie, quality, secrets, sharding,
+                             suffix_dedup, token_counts, transcode)
 from querywright.llm.storage import settle
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 PII_KEY = "spark.querywright.piiKey"
 TOKEN_LIMIT = 512
 
@@ -82,5 +83,21 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.without_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("row.doc_id", "out.n_bytes", "out.n_removed", F.size("out.spans").cast("long").alias("n_spans"),
+                      F.sha2("out.kept", 256).alias("kept_sha256"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = alignment.align(documents(spark, sf_dir).select("doc_id", "text"), TOKENIZER, PIECES, digest=True)
+    return out.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 PLANS = {f.__name__: f for f in (op1_near_dedup, op2_packing, op3_quality, op4_pii, op5_line_dedup, op6_transcode,
-                                 op7_exact_dedup, op8_token_counts, op9_secret_scan, op10_sharding)}
+                                 op7_exact_dedup, op8_token_counts, op9_secret_scan, op10_sharding, op11_suffix_dedup,
+                                 op12_alignment, op13_prefix_trie)}

@@ -1,12 +1,15 @@
 """Reliable intermediate results and small Arrow helpers shared by the operators."""
 
 import tempfile
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 SLICE_ROWS = 256
 
+_own: dict[str, str] = {}  # by application: the folder taken where the setting is missing
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as ``spark.checkpoint.dir`` names it. Where the setting is missing, a folder
@@ -16,9 +19,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    folder = tempfile.mkdtemp(prefix="llm-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = tempfile.mkdtemp(prefix="llm-")
+    return _own[app]
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -30,6 +34,15 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The frame written as a columnar table under the shared folder and read again: like ``settle``, compressed, for wide
+    or large frames of which later steps read some columns. The folder goes with the application's shared folder."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def slices(batches, rows: int = SLICE_ROWS):
     """Arrow batches in small slices, so that the Python objects of a task stay few."""
     for batch in batches:
