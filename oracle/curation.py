@@ -68,6 +68,10 @@ def ck(body):
 _VARIANT = "CASE {v} WHEN 'upper' THEN upper(sql) WHEN 'lower' THEN lower(sql) WHEN 'collapse' THEN regexp_replace(sql, '\\s+', ' ', 'g') ELSE replace(sql, ',', ', ') END"
 
 
+_ASKED = """asked AS (
+  SELECT row_id, regexp_replace(lower(trim(coalesce(question, ''))), '[ ]+', ' ', 'g') AS grp FROM (
+    SELECT 'q' || pair_id AS row_id, question FROM qa_pairs UNION ALL SELECT 'r' || pair_id, question FROM raw_pairs))"""
+
 SQL = {
     "CAT01": "SELECT table_name, column_name, CAST(ordinal_position - 1 AS BIGINT) AS position, " + _TYPE + " AS data_type, list_contains(" + _PK_LIST + ", table_name || '.' || column_name) AS is_primary_key, rows FROM information_schema.columns JOIN (" + each(_TABLES, lambda x: f"SELECT '{x}' AS table_name, count(*) AS rows FROM {x}") + ") USING (table_name)",
     "CAT02": each(_REFS, lambda r: f"SELECT '{r[0]}' AS table_name, '{r[1]}' AS column_name, '{r[2]}' AS ref_table, '{r[3]}' AS ref_column, count({r[1]}) AS rows, count(DISTINCT {r[1]}) AS distinct_values FROM {r[0]}"),
@@ -97,6 +101,8 @@ SQL = {
 n AS (SELECT count(*) AS n FROM ok), ex AS (SELECT i, {draw('n', 'row')} AS r, {draw(3, 'technique')} AS k, ['upper', 'lower', 'collapse', 'commas'][{draw(4, 'variant')} + 1] AS v FROM n, LATERAL unnest(range(CAST(floor(n * CAST(1.5 AS DOUBLE)) AS BIGINT) - n)) u(i)),
 aug AS (SELECT pair_id, ['paraphrase', 'format', 'alias'][k + 1] AS origin, CASE WHEN k = 0 THEN {para('question')} ELSE question END AS question, CASE k WHEN 1 THEN {_VARIANT.format(v='v')} WHEN 2 THEN {alias('sql')} ELSE sql END AS sql FROM ex JOIN ok USING (r))
 SELECT pair_id, origin, md5(concat_ws('|', question, sql)) AS content_md5 FROM (SELECT pair_id, 'original' AS origin, question, sql FROM ok UNION ALL SELECT * FROM aug)"""),
+    "CUR17": with_("qa_pairs raw_pairs", f"WITH {_ASKED}, g AS (SELECT md5(concat_ws(':', grp, '0')) AS group_key, count(*) AS n FROM asked GROUP BY 1), p AS (SELECT group_key, n, sum(n) OVER (ORDER BY group_key) - n AS a, sum(n) OVER () AS t FROM g) SELECT row_id, group_key, CASE WHEN a < floor(t * CAST(0.8 AS DOUBLE)) THEN 'train' WHEN a < floor(t * CAST(0.8 AS DOUBLE)) + floor(t * CAST(0.1 AS DOUBLE)) THEN 'validation' ELSE 'test' END AS split FROM asked JOIN p ON group_key = md5(concat_ws(':', grp, '0'))"),
+    "CUR17_leaks": with_("qa_pairs raw_pairs", f"WITH {_ASKED}, s AS (SELECT md5(grp) AS group_key, CASE WHEN r < floor(n * CAST(0.8 AS DOUBLE)) THEN 'train' WHEN r < floor(n * CAST(0.8 AS DOUBLE)) + floor(n * CAST(0.1 AS DOUBLE)) THEN 'validation' ELSE 'test' END AS split FROM (SELECT grp, row_number() OVER (ORDER BY md5(concat_ws(':', row_id, '0')), row_id) - 1 AS r, count(*) OVER () AS n FROM asked)) SELECT group_key, count(*) AS n_rows, string_agg(DISTINCT split, ',' ORDER BY split) AS splits FROM s GROUP BY 1 HAVING count(DISTINCT split) > 1"),
     "CUR14": with_("qa_pairs", "SELECT pair_id, CASE WHEN r < floor(n * CAST(0.8 AS DOUBLE)) THEN 'train' WHEN r < floor(n * CAST(0.8 AS DOUBLE)) + floor(n * CAST(0.1 AS DOUBLE)) THEN 'validation' ELSE 'test' END AS split FROM (SELECT pair_id, row_number() OVER (ORDER BY md5(concat_ws(':', pair_id, '0')), pair_id) - 1 AS r, count(*) OVER () AS n FROM qa_pairs)"),
     "CUR15": ck("SELECT pair_id, md5(concat_ws(' | ', 'Generate SQL for the following question:', 'Question: ' || question, 'Tables: ' || array_to_string(relevant_tables, ', '), 'Columns: ' || array_to_string(relevant_columns, ', '))) AS input_md5 FROM ck WHERE is_valid"),
     "CUR16": with_("raw_pairs", "SELECT pair_id, md5('translate English to SQL: ' || question || CASE WHEN coalesce(schema_context, '') <> '' THEN ' | schema: ' || schema_context ELSE '' END) AS input_md5 FROM raw_pairs WHERE question IS NOT NULL"),

@@ -268,6 +268,19 @@ def P(body):
     return with_("sql_pairs", body)
 
 
+# the pairs by their kind: same statement, no predicate, missing table, same rows through a join
+EVL04 = """
+WITH counted AS (SELECT o_custkey, o_orderstatus, count(*) AS n FROM orders GROUP BY ALL),
+own AS (SELECT o_custkey, list((o_orderstatus, n) ORDER BY o_orderstatus) AS l FROM counted GROUP BY o_custkey),
+whole AS (SELECT list((o_orderstatus, n) ORDER BY o_orderstatus) AS l FROM (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1)),
+linked AS (
+  SELECT c_custkey, list((o_orderstatus, n) ORDER BY o_orderstatus) AS l
+  FROM (SELECT c_custkey, o_orderstatus, count(*) AS n FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY ALL) GROUP BY 1)
+SELECT o_orderkey AS question_id, CASE o_orderkey % 6 WHEN 3 THEN own.l = whole.l WHEN 4 THEN false
+  WHEN 5 THEN coalesce(own.l = linked.l, false) ELSE true END AS execution_correct
+FROM orders JOIN own USING (o_custkey) CROSS JOIN whole LEFT JOIN linked ON c_custkey = o_custkey
+"""
+
 SQL = {
     "TXT01": P(f"SELECT question_id, {norm('pred_sql')} AS normalised FROM sql_pairs"),
     "TXT02": P(f"SELECT question_id, array_to_string({toks('pred_sql')}, ' ') AS tokens FROM sql_pairs"),
@@ -301,7 +314,7 @@ SELECT 'same' AS comparison, unnest(['set', 'bag']) AS mode, true AS same
 UNION ALL SELECT 'copies', 'set', NOT EXISTS (SELECT * FROM f EXCEPT SELECT * FROM g) AND NOT EXISTS (SELECT * FROM g EXCEPT SELECT * FROM f)
 UNION ALL SELECT 'copies', 'bag', NOT EXISTS (SELECT * FROM f EXCEPT ALL SELECT * FROM g) AND NOT EXISTS (SELECT * FROM g EXCEPT ALL SELECT * FROM f)
 UNION ALL SELECT 'fewer', unnest(['set', 'bag']), (SELECT count(*) FROM k) = (SELECT count(*) FROM orders)""",
-    "EVL04": "SELECT DISTINCT o_orderpriority, o_orderpriority[1] IN ('1', '2') AS execution_correct FROM orders",
+    "EVL04": EVL04,
     "EVL05": P(f"WITH {bleu_ctes('sql_pairs').strip()} SELECT question_id, round(bleu_score, 6) AS bleu_score FROM bl"),
     "EVL06": P(f"WITH {bleu_ctes('sql_pairs').strip()} SELECT round(avg(bleu_score), 6) AS mean_bleu FROM bl"),
     "EVL07": P(f"SELECT question_id, {complies('pred_sql')} AS schema_compliant FROM sql_pairs"),

@@ -111,22 +111,38 @@ def build_cards(columns: DataFrame, edges: DataFrame | None = None) -> DataFrame
     return table_cards.unionByName(column_cards, allowMissingColumns=True)
 
 
-def contains_join(needles: DataFrame, needle: str, hay: DataFrame, texts) -> DataFrame:
-    """All (needle, row) pairs where a text column contains the needle, ignoring case, without a
-    cross join: a needle meets only the rows that hold its first letters (at most three).
+def _grams(text: Column, size: int) -> Column:
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1)))
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(size))))
 
-    ``needle`` values must be distinct and not empty."""
-    n = needles.withColumn("_needle", F.lower(needle)).withColumn("_key", F.substring("_needle", 1, GRAM))
-    whole = F.lower(F.concat_ws("\u0001", *texts))
-    h = hay.withColumn("_text", whole)
 
-    def grams(size):
-        starts = F.sequence(F.lit(1), F.greatest(F.length("_text") - size + 1, F.lit(1)))
-        return F.transform(starts, lambda i: F.substring(F.col("_text"), i, F.lit(size)))
+def contains_join(needles: DataFrame, needle: str, hay: DataFrame, texts, key: str = "id") -> DataFrame:
+    """All (needle, row) pairs where a text column contains the needle, ignoring case, without a cross join.
+
+    The rows are indexed by their grams of GRAM letters (shorter needles: by shorter grams, made only when such needles
+    are asked). A gram's rows are counted once, and a needle meets the rows of its *rarest* gram alone, so its candidates are
+    at most that gram's count. Keys and one text move through the index; the other columns are joined to the hits.
 
-    h = h.withColumn("_key", F.explode(F.array_distinct(F.concat(*[grams(g) for g in range(1, GRAM + 1)]))))
-    return h.join(broadcast_if(n, few_rows(needles)), "_key").filter(F.col("_text").contains(F.col("_needle"))).drop(
-        "_key", "_text", "_needle")
+    ``needle`` values must be distinct and not empty; ``key`` must be distinct in ``hay``."""
+    whole = F.lower(F.concat_ws("\u0001", *texts))
+    asked = needles.select(F.col(needle), F.lower(needle).alias("_needle")).withColumn(
+        "_size", F.least(F.length("_needle"), F.lit(GRAM)))
+    sizes = sorted(r[0] for r in asked.select("_size").distinct().collect())     # GRAM values at most
+    by_size = lambda text, size: F.coalesce(*[F.when(size == g, _grams(text, g)) for g in sizes])
+    if not sizes:
+        return hay.limit(0).withColumn(needle, F.lit(None).cast("string"))
+    grams = asked.select(needle, "_needle", F.explode(by_size(F.col("_needle"), F.col("_size"))).alias("_gram"))
+    wanted = grams.select("_gram").distinct()
+    small = few_rows(wanted)
+    index = hay.select(key, whole.alias("_text")).select(key, "_text", F.explode(
+        F.array_distinct(F.concat(*[_grams(F.col("_text"), g) for g in sizes]))).alias("_gram"))
+    index = index.join(broadcast_if(wanted, small), "_gram", "left_semi")
+    counts = index.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = (grams.join(counts, "_gram", "left").groupBy(needle, "_needle")
+              .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("gram"))).alias("_r"))
+              .filter("_r.n > 0").select(needle, "_needle", F.col("_r.gram").alias("_gram")))
+    hits = index.join(broadcast_if(rarest, few_rows(needles)), "_gram").filter(F.col("_text").contains(F.col("_needle")))
+    return hay.join(hits.select(key, needle), key).select(*hay.columns, needle)
 
 
 def search_cards(cards: DataFrame, queries: DataFrame, query: str = "query", card_type: str | None = None) -> DataFrame:

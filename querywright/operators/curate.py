@@ -184,6 +184,33 @@ def split(df: DataFrame, key: str, ratios=(0.8, 0.1, 0.1), seed: int = 0) -> Dat
     return ranked.withColumn("split", label).drop("shuffle_rank")
 
 
+def split_by_group(df: DataFrame, group: Column, ratios=(0.8, 0.1, 0.1), seed: int = 0) -> DataFrame:
+    """Add ``group_key`` and ``split``: rows of equal ``group`` fall in one split. Groups lie one after the other in the order of their
+    digest, and a group goes where its first row would go, so every border is missed by less than one group. Only one row per
+    group is ordered, in ranges of the digest; a group of a third of all rows is one row there."""
+    if abs(sum(ratios) - 1.0) > 1e-6:
+        raise ValueError("ratios must sum to 1.0")
+    keyed = df.withColumn("group_key", F.md5(F.concat_ws(":", group, F.lit(str(seed)))))
+    sizes = keyed.groupBy("group_key").agg(F.count(F.lit(1)).alias("n"))
+    bucket = F.substring("group_key", 1, RANK_BUCKET_DIGITS)
+    totals = sizes.groupBy(bucket.alias("_b")).agg(F.sum("n").alias("_n"))
+    prior = (Window.unboundedPreceding, -1)
+    shifts = totals.select("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(*prior)), F.lit(0)).alias("_shift"),
+                           F.sum("_n").over(Window.partitionBy()).alias("_all"))     # 16 ** RANK_BUCKET_DIGITS rows at most
+    inside = F.coalesce(F.sum("n").over(Window.partitionBy("_b").orderBy("group_key").rowsBetween(*prior)), F.lit(0))
+    placed = sizes.withColumn("_b", bucket).withColumn("_at", inside).join(F.broadcast(shifts), "_b")
+    at, n = F.col("_at") + F.col("_shift"), F.col("_all")
+    train, val = F.floor(n * F.lit(ratios[0])), F.floor(n * F.lit(ratios[1]))
+    label = F.when(at < train, "train").when(at < train + val, "validation").otherwise("test")
+    return keyed.join(placed.select("group_key", label.alias("split")), "group_key")
+
+
+def leaks(df: DataFrame, group: str = "group_key", label: str = "split") -> DataFrame:
+    """(group, n_rows, splits): the groups that lie in more than one split, by one grouping without a self-join."""
+    found = df.groupBy(group).agg(F.count(F.lit(1)).alias("n_rows"), F.sort_array(F.collect_set(label)).alias("splits"))
+    return found.filter(F.size("splits") > 1)
+
+
 def draw(i: Column, seed: int, n, salt: str) -> Column:
     """A repeatable draw from 0..n-1 for each row number."""
     h = F.md5(F.concat_ws(":", i.cast("string"), F.lit(str(seed)), F.lit(salt)))

@@ -124,33 +124,6 @@ def same_result(a: DataFrame, b: DataFrame, mode: str = "set") -> DataFrame:
                         & (F.coalesce(F.sum("_a"), F.lit(0)) == F.coalesce(F.sum("_b"), F.lit(0)))).alias("same"))
 
 
-def execution_match(spark, pairs: DataFrame, pred: str = "pred_sql", truth: str = "truth_sql",
-                    max_statements: int = 1000) -> DataFrame:
-    """Run each distinct pair of statements once and compare their results; unsafe or failing
-    statements do not match. Planning happens on the driver, so the number of distinct pairs is
-    checked; results stay on the executors."""
-    distinct = [(r[0], r[1]) for r in pairs.select(pred, truth).distinct().limit(max_statements + 1).collect()]
-    if len(distinct) > max_statements:
-        raise ValueError(f"more than {max_statements} distinct statement pairs; raise max_statements or split the input")
-    results = {}
-    for sql in sorted({s for pair in distinct for s in pair if s is not None}):
-        results[sql] = run_readonly(spark, sql, count=False)[1]
-    verdicts = []
-    for p, t in distinct:
-        if results.get(p) is not None and results.get(t) is not None:
-            same = same_result(results[p], results[t])
-        else:
-            same = spark.range(1).select(F.lit(False).alias("same"))
-        verdicts.append(same.select(F.lit(p).cast("string").alias(pred), F.lit(t).cast("string").alias(truth),
-                                    F.col("same").alias("execution_correct")))
-    if not verdicts:
-        return pairs.withColumn("execution_correct", F.lit(False))
-    table = union_all(verdicts)
-    null_safe = F.col(f"x.{pred}").eqNullSafe(F.col(f"v.{pred}")) & F.col(f"x.{truth}").eqNullSafe(F.col(f"v.{truth}"))
-    return (pairs.alias("x").join(F.broadcast(table.alias("v")), null_safe, "left")
-            .select("x.*", F.coalesce("v.execution_correct", F.lit(False)).alias("execution_correct")))
-
-
 def timed_map(df: DataFrame, fn, input_col: str, output_col: str = "output") -> DataFrame:
     """Call ``fn(text)`` per row inside Arrow batches; a failing call has infinite time and no output."""
     schema = T.StructType([*df.schema.fields, T.StructField(output_col, T.StringType()),

@@ -146,5 +146,23 @@ def cur16(t):
     return rows.select("pair_id", F.md5(curate.model_input("question", "schema_context")).alias("input_md5"))
 
 
+def _asked(t):
+    """All questions, of conversations and of raw pairs, with the key under which near copies meet."""
+    rows = qa_pairs(t).select(F.concat(F.lit("q"), F.col("pair_id").cast("string")).alias("row_id"), "question").unionByName(
+        raw_pairs(t).select(F.concat(F.lit("r"), F.col("pair_id").cast("string")).alias("row_id"), "question"))
+    return rows.withColumn("_group", F.regexp_replace(F.lower(F.trim(F.coalesce("question", F.lit("")))), "[ ]+", " "))
+
+
+def cur17(t):
+    """Every question with its split; equal normalised questions stay together."""
+    return curate.split_by_group(_asked(t), F.col("_group")).select("row_id", "group_key", "split")
+
+
+def cur17_leaks(t):
+    """What a split by single rows would leak."""
+    single = curate.split(_asked(t).select("row_id", F.md5("_group").alias("group_key")), "row_id")
+    return curate.leaks(single).select("group_key", "n_rows", F.array_join("splits", ",").alias("splits"))
+
+
 PLANS = {name[:5].upper() + name[5:]: f for name, f in list(globals().items())
          if callable(f) and name[:3] in ("cat", "cur") and name[3:5].isdigit()}

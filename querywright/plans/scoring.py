@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from querywright.functions import responses as parse
 from querywright.functions import sqltext as st
 from querywright.operators import analytics as an
-from querywright.operators import charts, evaluate, guard
+from querywright.operators import charts, evaluate, guard, shapes
 from querywright.plans.fixtures import eval_rows, responses, sql_pairs, user_questions
 from querywright.plans.profiles import rounded
 from querywright.scale import union_all
@@ -154,19 +154,10 @@ def evl03(t):
 
 
 def evl04(t):
-    """One pair of statements per order priority, run on the orders table."""
+    """The verdict of every statement pair, one pair per order."""
     from querywright.sources.tables import register_views
     register_views(t.spark, t.folder)
-    p = F.col("o_orderpriority")
-    truth = F.concat(F.lit("SELECT o_orderstatus, COUNT(*) AS n FROM orders WHERE o_orderpriority = '"), p,
-                     F.lit("' GROUP BY o_orderstatus"))
-    pred = (F.when(F.substring(p, 1, 1).isin("1", "2"), F.concat(
-        F.lit("SELECT COUNT(o_orderkey) AS n, o_orderstatus FROM orders WHERE o_orderpriority = '"), p, F.lit("' GROUP BY o_orderstatus")))
-        .when(F.substring(p, 1, 1) == "3", F.lit("SELECT o_orderstatus, COUNT(*) AS n FROM orders GROUP BY o_orderstatus"))
-        .when(F.substring(p, 1, 1) == "4", F.lit("DELETE FROM orders")).otherwise(F.lit("SELECT nothing FROM nowhere")))
-    pairs = t.orders.select(p.alias("priority")).distinct().select(
-        F.col("priority").alias("o_orderpriority")).select("o_orderpriority", pred.alias("pred_sql"), truth.alias("truth_sql"))
-    return evaluate.execution_match(t.spark, pairs).select("o_orderpriority", "execution_correct")
+    return shapes.execution_match(t.spark, sql_pairs(t)).select("question_id", "execution_correct")
 
 
 def evl05(t):
