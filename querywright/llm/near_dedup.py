@@ -246,7 +246,7 @@ def fine_sketch(items: np.ndarray) -> bytes:
 
 
 def fine_sketches(docs: DataFrame, asked: DataFrame, id_col: str, text: str, width: int) -> DataFrame:
-    """(id, fine) of the asked ids."""
+    """(id, size, fine) of the asked ids."""
     def run(texts: pa.Array) -> pa.Array:
         n, fine = [], []
         for start in range(0, len(texts), 256):
@@ -258,11 +258,11 @@ def fine_sketches(docs: DataFrame, asked: DataFrame, id_col: str, text: str, wid
     asked = F.broadcast(asked) if asked.count() <= BROADCAST_IDS else asked
     found = docs.select(F.col(id_col).alias("id"), F.col(text).alias("_text")).join(asked, "id", "left_semi")
     made = found.select("id", F.arrow_udf(run, "struct<n long, fine binary>").asNondeterministic()("_text").alias("f"))
-    return made.groupBy("id").agg(F.max("f").alias("f")).select("id", "f.fine")
+    return made.groupBy("id").agg(F.max("f").alias("f")).select("id", F.col("f.n").alias("size"), "f.fine")
 
 
 def tile_pairs(left, right, similar: int = SIMILAR) -> tuple[np.ndarray, ...]:
-    """Candidates (a, b, turn) between two blocks (labels, fine, ids, component), or inside one (``right`` is None): all pairs of
+    """Candidates (a, b, turn) between two blocks (labels, fine, ids, component, sizes), or inside one (``right`` is None): all pairs of
     different components with plausible sketches. Turn 0 is each leaf's best."""
     one = right is None
     right = left if one else right
@@ -279,9 +279,14 @@ def tile_pairs(left, right, similar: int = SIMILAR) -> tuple[np.ndarray, ...]:
         for at in range(0, len(i), 1 << 15):
             x, y = i[at:at + (1 << 15)], j[at:at + (1 << 15)]
             f, g = left[1][x], right[1][y]
-            used = ((f > 0) | (g > 0)).sum(axis=1)
-            same = ((f == g) & (f > 0)).sum(axis=1) / np.maximum(used, 1)
-            good = same >= share - 4 * np.sqrt(share * (1 - share) / np.maximum(used, 1))
+            used = np.maximum(((f > 0) | (g > 0)).sum(axis=1), 1)
+            same = ((f == g) & (f > 0)).sum(axis=1) / used
+            # the used parts are a draw without replacement from the union, which has at most so many shingles in a pair
+            # that is similar enough: a sketch of most of the union hardly errs
+            n, m = left[4][x], right[4][y]
+            union = np.maximum((n + m) / (1 + share), 2)
+            spread = share * (1 - share) / used * np.maximum(union - used, 0) / (union - 1)
+            good = (same >= share - 4 * np.sqrt(spread) - 1e-9) & (np.minimum(n, m) >= share * np.maximum(n, m))
             out.append((x[good], y[good], same[good]))
     if not out:
         none = np.zeros(0, np.int64)
@@ -296,11 +301,10 @@ def tile_pairs(left, right, similar: int = SIMILAR) -> tuple[np.ndarray, ...]:
 
 
 def remainder(docs: DataFrame, rows: DataFrame, wide: DataFrame, named: DataFrame, id_col: str, text: str, width: int,
-              similar: int, best: bool = False, tile: int = TILE) -> DataFrame | None:
+              similar: int, tile: int = TILE) -> DataFrame | None:
     """(a, b, turn): the candidates of wide regions that windows and medoids left out: all pairs of leaves of one region of first
     depth that lie in different components so far (``named``: id, component). A region is dealt into blocks and every two blocks
-    meet in a task; blocks of one large component do not meet each other, and a region with one component is done. ``best``: only
-    the pairs of turn 0, whose links leave fewer components for the next call."""
+    meet in a task; blocks of one large component do not meet each other, and a region with one component is done."""
     held = settle(rows.join(wide.select("region"), "region", "left_semi").join(named, "id"))
     counts = settle(held.groupBy("region", "component").agg(F.count(F.lit(1)).alias("c")))
     mixed = counts.groupBy("region").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("region")
@@ -309,7 +313,6 @@ def remainder(docs: DataFrame, rows: DataFrame, wide: DataFrame, named: DataFram
     if counts.isEmpty():
         return None
     parts = counts.groupBy("region", "group").agg(F.ceil(F.sum("c") / tile).cast("int").alias("parts"))
-    parts = settle(parts)
     held = settle(held.join(counts.select("region", "component", "group"), ["region", "component"]).join(parts, ["region", "group"])
                   .select("region", F.struct("group", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")).alias("block"),
                           "id", "label", "component"))
@@ -317,24 +320,22 @@ def remainder(docs: DataFrame, rows: DataFrame, wide: DataFrame, named: DataFram
         F.sequence(F.lit(0), F.col("parts") - 1), lambda n: F.struct(F.col("group"), n.alias("part")))).alias("x"))
     meet = blocks.join(blocks.withColumnRenamed("x", "y"), "region").filter(
         (F.col("x") <= F.col("y")) & ((F.col("x.group") != F.col("y.group")) | (F.col("x.group") == "")))
-    meet = settle(meet)
     sides = (meet.select("region", "x", "y", F.col("x").alias("block"), F.lit(0).alias("side"))
              .unionByName(meet.filter("x <> y").select("region", "x", "y", F.col("y").alias("block"), F.lit(1).alias("side"))))
-    fine = settle(fine_sketches(docs, settle(held.select("id").distinct()), id_col, text, width))
+    fine = fine_sketches(docs, settle(held.select("id").distinct()), id_col, text, width)
 
     def run(table: pa.Table) -> pa.Table:
         side = table["side"].to_numpy()
         wholes = (np.frombuffer(b"".join(table["label"].to_pylist()), np.uint8).reshape(-1, PLACES),
                   np.frombuffer(b"".join(table["fine"].to_pylist()), np.uint8).reshape(-1, BINS),
-                  table["id"].to_numpy(), table["component"].to_numpy())
+                  table["id"].to_numpy(), table["component"].to_numpy(), table["size"].to_numpy())
         left = [v[side == 0] for v in wholes]
         right = [v[side == 1] for v in wholes] if table["paired"][0].as_py() else None
         a, b, turn = tile_pairs(left, right, similar)
-        keep = turn == 0 if best else turn >= 0
-        return pa.table({"a": pa.array(a[keep], pa.int64()), "b": pa.array(b[keep], pa.int64()), "turn": pa.array(turn[keep], pa.int64())})
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "turn": pa.array(turn, pa.int64())})
 
     met = held.join(fine, "id").join(sides, ["region", "block"]).select(
-        "region", "x", "y", "side", (F.col("x") != F.col("y")).alias("paired"), "id", "label", "fine", "component")
+        "region", "x", "y", "side", (F.col("x") != F.col("y")).alias("paired"), "id", "label", "fine", "component", "size")
     return met.groupBy("region", "x", "y").applyInArrow(run, "a long, b long, turn long").groupBy("a", "b").agg(F.min("turn").alias("turn"))
 
 
@@ -348,49 +349,100 @@ def links(docs: DataFrame, pairs: DataFrame, id_col: str = "doc_id", text: str =
         return pa.array(out, pa.list_(pa.int64()))
 
     asked = settle(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct())
-    asked = F.broadcast(asked) if asked.count() <= BROADCAST_IDS else asked
+    n_asked = asked.count()
+    asked = F.broadcast(asked) if n_asked <= BROADCAST_IDS else asked
     found = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")).join(asked, "_id", "left_semi")
     sets = found.select("_id", F.arrow_udf(run, "array<long>").asNondeterministic()("_text").alias("items"))
     sets = sets.groupBy("_id").agg(F.max_by("items", F.struct(F.size("items"), "items")).alias("items"))
+    blocks = -(-n_asked // TILE)
+    if pairs.count() > n_asked * (blocks + 1):   # a set travels once per pair of blocks instead of once per pair
+        return _links_by_block(pairs, sets, blocks, similar)
     both = (pairs.join(sets.select(F.col("_id").alias("a"), F.col("items").alias("x")), "a")
             .join(sets.select(F.col("_id").alias("b"), F.col("items").alias("y")), "b"))
     common = F.size(F.array_intersect("x", "y"))
     union = F.size("x") + F.size("y") - common
-    return both.filter(100 * common >= similar * union).select("a", "b")
+    return both.filter(100 * common >= similar * union).select(*pairs.columns)
+
+
+def common_counts(left: np.ndarray, right: np.ndarray, items: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets left[k] and right[k]; set i is items[first[i]:first[i + 1]], never empty. The partners
+    of one set are counted together."""
+    _, number = np.unique(items, return_inverse=True)
+    mark, out = np.zeros(int(number.max(initial=-1)) + 1, np.int64), np.empty(len(left), np.int64)
+    order = np.argsort(left, kind="stable")
+    for rows in np.split(order, np.flatnonzero(np.diff(left[order])) + 1):
+        for at in range(0, len(rows), 1024):
+            part = rows[at:at + 1024]
+            own = number[first[left[part[0]]]:first[left[part[0]] + 1]]
+            size = first[right[part] + 1] - first[right[part]]
+            begin = np.cumsum(size) - size
+            mark[own] = 1
+            out[part] = np.add.reduceat(mark[number[np.arange(size.sum()) + np.repeat(first[right[part]] - begin, size)]], begin)
+            mark[own] = 0
+    return out
+
+
+def _links_by_block(pairs: DataFrame, sets: DataFrame, blocks: int, similar: int) -> DataFrame:
+    """``links`` where pairs are many times the documents: ids are dealt into blocks, and the sets of two blocks meet their pairs."""
+    block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
+    placed = pairs.withColumn("x", F.least(block("a"), block("b"))).withColumn("y", F.greatest(block("a"), block("b")))
+    tiles = placed.select("x", "y").distinct()
+    sides = tiles.select("x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
+    held = sets.withColumn("block", block("_id")).join(sides, "block").select(
+        F.col("x").alias("hx"), F.col("y").alias("hy"), "_id", "items")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        wanted = left.select(names)
+        if not left.num_rows or not right.num_rows:
+            return wanted.slice(0, 0)
+        order = np.argsort(right["_id"].to_numpy())
+        ids = right["_id"].to_numpy()[order]
+        lists = right["items"].combine_chunks().take(pa.array(order))
+        items, first = lists.flatten().to_numpy(), np.append(0, np.cumsum(lists.value_lengths().to_numpy()))
+        x, y = (np.searchsorted(ids, left[c].to_numpy()) for c in ("a", "b"))
+        common = common_counts(x, y, items, first)
+        size = np.diff(first)
+        return wanted.filter(pa.array(100 * common >= similar * (size[x] + size[y] - common)))
+
+    names = pairs.columns
+    return placed.groupBy("x", "y").cogroup(held.groupBy("hx", "hy")).applyInArrow(run, pairs.schema)
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable, for every id in a link. Labels take the minimum of their neighbours and
-    then of their label's label, so long chains shrink by halves."""
-    edges = settle(edges)
-    arcs = settle(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    labels = settle(arcs.groupBy("a").agg(F.min("b").alias("m")).select(
-        F.col("a").alias("id"), F.least("a", "m").alias("label")))
-    while True:
-        near = (arcs.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("m")))
-        step = labels.join(near.withColumnRenamed("a", "id"), "id").select(
-            "id", "label", F.least("label", "m").alias("next"))
-        jump = labels.select(F.col("id").alias("next"), F.col("label").alias("far"))
-        step = settle(step.join(jump, "next").select("id", "label", F.least("next", "far").alias("next")))
+    then of their label's label, so long chains shrink by halves; a step is one written table."""
+    arcs = settle(edges.select(F.inline(F.array(F.struct(F.col("a").alias("a"), F.col("b").alias("b")), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))))
+    step = settle(arcs.groupBy("a").agg(F.min("b").alias("m")).select(
+        F.col("a").alias("id"), F.col("a").alias("label"), F.least("a", "m").alias("next")))
+    while not step.filter("label <> next").isEmpty():
         labels = step.select("id", F.col("next").alias("label"))
-        if step.filter("label <> next").isEmpty():
-            return labels.withColumnRenamed("label", "component")
-
-
-def all_links(docs: DataFrame, pairs: DataFrame, id_col: str, text: str, width: int, similar: int,
-              known: DataFrame | None = None) -> DataFrame:
-    """Links (a, b), with the ``known`` ones, that join what the candidates can join: a pair whose ends earlier links have
-    joined is not checked."""
-    first = links(docs, pairs.filter("turn = 0").select("a", "b"), id_col, text, width, similar)
-    first = settle(first if known is None else first.unionByName(known))
-    reach = components(first)
-    of = lambda end: reach.select(F.col("id").alias(end), F.col("component").alias(f"c{end}"))
-    rest = (pairs.filter("turn > 0").join(of("a"), "a", "left").join(of("b"), "b", "left")
-            .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
-    rest = settle(rest)
-    if rest.isEmpty():
-        return first
-    return first.unionByName(links(docs, rest, id_col, text, width, similar))
+        near = arcs.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("m"))
+        far = labels.select(F.col("id").alias("next"), F.col("label").alias("far"))
+        step = settle(labels.join(near.withColumnRenamed("a", "id"), "id").select("id", "label", F.least("label", "m").alias("next"))
+                      .join(far, "next").select("id", "label", F.least("next", "far").alias("next")))
+    return step.select("id", F.col("label").alias("component"))
+
+
+def joined(docs: DataFrame, pairs: DataFrame, reach: DataFrame | None, id_col: str, text: str, width: int,
+           similar: int) -> DataFrame | None:
+    """(id, component) after the candidate ``pairs`` are checked: the table so far, brought up to date. A pair whose ends are in one
+    component already is not checked, and new links join components, not documents, so each round works on what is new."""
+    if reach is None:
+        asked = pairs.select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb"))
+    else:
+        of = lambda end: reach.select(F.col("id").alias(end), F.col("component").alias(f"c{end}"))
+        asked = (pairs.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
+                 .select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")).filter("ca <> cb"))
+    asked = settle(asked)
+    if asked.isEmpty():
+        return reach
+    found = links(docs, asked, id_col, text, width, similar)
+    new = components(found.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
+    if reach is None:
+        return new
+    moved = reach.join(new.select(F.col("id").alias("component"), F.col("component").alias("to")), "component", "left")
+    single = new.join(reach.select("id"), "id", "left_anti")
+    return settle(moved.select("id", F.coalesce("to", "component").alias("component")).unionByName(single))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH,
@@ -408,16 +460,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     more = hubs(forest(classes), wide)
     if more is not None:
         pairs = pairs.unionByName(more).groupBy("a", "b").agg(F.min("turn").alias("turn"))
-    edges = settle(all_links(docs, settle(pairs), *rules))
-    reach = components(edges)
-    for best in (True, False):
-        so_far = classes.select("id").join(reach, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
-        rest = remainder(docs, forest(classes), wide, so_far, *rules, best=best)
-        rest = rest if rest is None else settle(rest)
-        if rest is None or rest.isEmpty():
-            break
-        edges = settle(all_links(docs, rest, *rules, known=edges))
-        reach = components(edges)
+    pairs, reach = settle(pairs), None
+    for turn in (0, 1):
+        reach = joined(docs, pairs.filter(F.col("turn") == turn), reach, *rules)
+    so_far = classes.select("id", F.col("id").alias("component")) if reach is None else classes.select("id").join(
+        reach, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+    rest = remainder(docs, forest(classes), wide, so_far, *rules)
+    if rest is not None:
+        rest = settle(rest)
+        for turn in (0, 1):
+            reach = joined(docs, rest.filter(F.col("turn") == turn), reach, *rules)
+    if reach is None:
+        reach = classes.select("id", F.col("id").alias("component")).limit(0)
     named = (classes.select("n", "sum", "fold", "id").join(reach, "id", "left")
              .select("n", "sum", "fold", F.coalesce("component", "id").alias("component")))
     out = (full.select("doc_id", "n", "sum", "fold").join(named, ["n", "sum", "fold"])
