@@ -13,13 +13,14 @@ Their tail probabilities are combined by Fisher's rule. High means: as good as r
 False discoveries are controlled by length. Tokens of letters in one case are words by construction and serve as decoys:
 the share of them that passes a bound estimates how many natural tokens pass by chance. Per length band (a factor of two),
 the lowest bound is taken whose estimated share of false discoveries is at most FALSE_SHARE; since longer words pass less
-often, a band uses the decoys of all bands up to its own, and one is added to their passes so that scarce decoys never
-prove anything. The counts cover all documents and fit a table of BANDS x GRID x 2 rows.
+often, a band uses the decoys of all bands up to its own. The share is never taken below LEAST_PASS, a fixed prior, so scarce
+decoys prove nothing, and a corpus given several times over is judged as it is given once. The counts cover all documents and
+fit a table of BANDS x GRID x 2 rows.
 
 Everything is a SQL expression over the row; only those counts are shuffled.
 
 Edge cases: a null or empty text has no spans; null ids and repeated rows are scanned like other rows; a table without
-candidates calls nothing; other columns pass through ``scan`` as the struct ``row``."""
+candidates calls nothing; a token of any length is tested whole, in time linear in its length; other columns pass through ``scan`` as the struct ``row``."""
 
 from __future__ import annotations
 
@@ -41,6 +42,7 @@ SHORTEST = 20
 BANDS = 16
 GRID = 64
 FALSE_SHARE = 0.05
+LEAST_PASS = 0.02         # of the natural tokens this share is taken to pass any bound, whatever the decoys say
 
 ALPHABETS = {
     "decimal": ("^[0-9]+$", "0123456789"),
@@ -70,26 +72,39 @@ def upper_tail(z: Column) -> Column:
     return let(z, lambda v: F.when(v >= 0, tail(v)).otherwise(1 - tail(-v)))
 
 
-def _statistics(symbols: Column, size: Column) -> Column:
-    """(chi, runs, serial) as standard normal values, for an array of symbol numbers and the size of their alphabet."""
-    n = F.size(symbols).cast("double")
-    squares = F.aggregate(F.array_distinct(symbols), F.lit(0.0), lambda acc, v: acc + F.pow(
-        F.size(F.filter(symbols, lambda s: s == v)).cast("double"), F.lit(2)))
-    chi = size / n * squares - n
-    chi_z = (chi - (size - 1)) / F.sqrt(2 * (size - 1) * (n - 1) / n)
-    high = F.transform(symbols, lambda s: (s * 2 >= size).cast("int"))
-    pairs = F.arrays_zip(F.slice(symbols, F.lit(1), F.size(symbols) - 1).alias("a"),
-                         F.slice(symbols, F.lit(2), F.size(symbols) - 1).alias("b"))
-    changes = F.size(F.filter(pairs, lambda p: (p["a"] * 2 >= size) != (p["b"] * 2 >= size))).cast("double")
-    ups = F.aggregate(high, F.lit(0), lambda acc, v: acc + v).cast("double")
-    mean = F.aggregate(symbols, F.lit(0.0), lambda acc, v: acc + v) / n
-    spread = F.aggregate(symbols, F.lit(0.0), lambda acc, v: acc + (v - mean) * (v - mean))
-    lagged = F.aggregate(pairs, F.lit(0.0), lambda acc, p: acc + (p["a"] - mean) * (p["b"] - mean))
-    expected = 2 * ups * (n - ups) / n + 1
-    variance = (expected - 1) * (expected - 2) / (n - 1)
-    runs_z = F.when(variance > 0, (changes + 1 - expected) / F.sqrt(variance)).otherwise(F.lit(-6.0))
-    serial_z = F.when(spread > 0, (lagged / spread + 1 / n) * F.sqrt(n)).otherwise(F.lit(6.0))
-    return F.struct(chi_z.alias("chi"), runs_z.alias("runs"), serial_z.alias("serial"))
+def _statistics(core: Column, chars: Column) -> Column:
+    """(chi, runs, serial) as standard normal values, for a string over the alphabet ``chars``. The symbols are gone through once;
+    sums of whole numbers give mean, spread and lagged products, so the work is linear in the length."""
+    size = F.char_length(chars).cast("double")
+    zero = F.lit(0).cast("long")
+
+    def passed(symbols: Column) -> Column:
+        start = F.struct(F.lit(-1).cast("long").alias("last"), *[zero.alias(k) for k in ("changes", "ups", "sum", "squares", "lagged")])
+        high = lambda x: (x * 2 >= F.char_length(chars)).cast("long")
+        return F.aggregate(symbols, start, lambda acc, x: F.struct(
+            x.alias("last"),
+            (acc["changes"] + F.when((acc["last"] >= 0) & (high(acc["last"]) != high(x)), 1).otherwise(0)).alias("changes"),
+            (acc["ups"] + high(x)).alias("ups"), (acc["sum"] + x).alias("sum"), (acc["squares"] + x * x).alias("squares"),
+            (acc["lagged"] + F.when(acc["last"] >= 0, acc["last"] * x).otherwise(zero)).alias("lagged")))
+
+    def judged(symbols: Column, t: Column) -> Column:
+        n = F.size(symbols).cast("double")
+        times = lambda v: F.char_length(core) - F.char_length(F.replace(core, F.substr(chars, (v + 1).cast("int"), F.lit(1)), F.lit("")))
+        counts = F.aggregate(F.array_distinct(symbols), F.lit(0.0), lambda acc, v: acc + F.pow(times(v).cast("double"), F.lit(2)))
+        chi = size / n * counts - n
+        chi_z = (chi - (size - 1)) / F.sqrt(2 * (size - 1) * (n - 1) / n)
+        ups, mean = t["ups"].cast("double"), t["sum"] / n
+        spread = (t["squares"] * n - t["sum"].cast("double") * t["sum"]) / n
+        ends = F.element_at(symbols, 1) + F.element_at(symbols, -1)
+        lagged = t["lagged"] - mean * (2 * t["sum"] - ends) + (n - 1) * mean * mean
+        expected = 2 * ups * (n - ups) / n + 1
+        variance = (expected - 1) * (expected - 2) / (n - 1)
+        runs_z = F.when(variance > 0, (t["changes"] + 1 - expected) / F.sqrt(variance)).otherwise(F.lit(-6.0))
+        serial_z = F.when(spread > 0, (lagged / spread + 1 / n) * F.sqrt(n)).otherwise(F.lit(6.0))
+        return F.struct(chi_z.alias("chi"), runs_z.alias("runs"), serial_z.alias("serial"))
+
+    numbers = F.transform(F.split(core, ""), lambda c: (F.call_function("locate", c, chars) - 1).cast("long"))
+    return let(numbers, lambda s: let(passed(s), lambda t: judged(s, t)))
 
 
 def randomness(token: Column) -> Column:
@@ -103,9 +118,7 @@ def randomness(token: Column) -> Column:
     cased = F.when(kind == "hex", F.lower(core)).otherwise(core)
 
     def tested(t: Column) -> Column:
-        symbols = F.transform(F.split(t["core"], ""), lambda c: F.call_function("locate", c, t["chars"]) - 1)
-        stats = let(symbols, lambda s: _statistics(s, F.char_length(t["chars"]).cast("double")))
-        return let(stats, combined)
+        return let(_statistics(t["core"], t["chars"]), combined)
 
     def combined(s: Column) -> Column:
         tails = (upper_tail(s["chi"]), 2 * upper_tail(F.abs(s["runs"])), 2 * upper_tail(F.abs(s["serial"])))
@@ -147,7 +160,7 @@ def bounds(rows: DataFrame, false_share: float = FALSE_SHARE) -> list[int]:
         total, found_at = sum(others[band]), GRID
         for place in range(GRID - 1, 0, -1):           # place 0 is never random
             passed, called = sum(pool[place:]), sum(others[band][place:])
-            share = (passed + 1) / (sum(pool) + 1) * total / called if called else 1.0
+            share = max(passed / max(sum(pool), 1), LEAST_PASS) * total / called if called else 1.0
             if called and share <= false_share:
                 found_at = place
         out.append(found_at)

@@ -4,6 +4,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+CHUNK = 128               # matches that are placed one after the other
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -16,16 +19,27 @@ def found(text: Column, pattern: str, start: Column | None = None) -> Column:
     The matches of one text bound the array."""
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), lambda x: F.char_length(x))
-    zipped = F.arrays_zip(gaps.alias("gap"), values.alias("value"))
-    empty = F.expr("CAST(array() AS array<struct<start: int, end: int, value: string>>)")
-    placed = F.aggregate(
-        F.filter(zipped, lambda z: z["value"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda acc, z: F.struct(
-            (acc["at"] + z["gap"] + F.char_length(z["value"])).alias("at"),
-            F.concat(acc["out"], F.array(F.struct(
-                (acc["at"] + z["gap"]).alias("start"),
-                (acc["at"] + z["gap"] + F.char_length(z["value"])).alias("end"),
-                z["value"].alias("value")))).alias("out")),
-        lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), placed).otherwise(empty)
+    zipped = F.filter(F.arrays_zip(gaps.alias("gap"), values.alias("value")), lambda z: z["value"].isNotNull())
+    none = F.expr("CAST(array() AS array<struct<start: int, end: int, value: string>>)")
+    size = lambda z: z["gap"] + F.char_length(z["value"])
+
+    def placed(chunk: Column, at: Column) -> Column:
+        return F.aggregate(chunk, F.struct(at.alias("at"), none.alias("out")), lambda acc, z: F.struct(
+            (acc["at"] + size(z)).alias("at"), F.concat(acc["out"], F.array(F.struct(
+                (acc["at"] + z["gap"]).alias("start"), (acc["at"] + size(z)).alias("end"), z["value"].alias("value")))).alias("out")),
+            lambda acc: acc["out"])
+
+    # an array that grows match by match is copied each time: places are summed in chunks, chunks from where they begin
+    def chunked(all_: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / CHUNK).cast("int")),
+                           lambda i: F.slice(all_, i * CHUNK + 1, F.lit(CHUNK)))
+
+    def begun(chunks: Column) -> Column:
+        return F.aggregate(chunks, F.array(F.lit(0)), lambda acc, c: F.concat(acc, F.array(
+            F.element_at(acc, -1) + F.aggregate(c, F.lit(0), lambda n, z: n + size(z)))))
+
+    def whole(chunks: Column) -> Column:
+        return let(begun(chunks), lambda at: F.flatten(F.transform(chunks, lambda c, i: placed(c, F.get(at, i)))))
+
+    return F.when(text.rlike(pattern), let(zipped, lambda z: F.when(F.size(z) <= CHUNK, placed(z, F.lit(0))).otherwise(
+        let(chunked(z), whole)))).otherwise(none)
