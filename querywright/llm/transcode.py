@@ -1,10 +1,10 @@
 """BPE encoding as a bounded-lookahead streaming transducer, and decoding as a byte-to-text state machine.
 
 Every prefix of a pre-token has exactly one last token: the one whose seam with the token before it survives all merges.
-The transducer therefore keeps one step per byte: the last token of the prefix that ends there. A later token starts at
-most the longest token's length back, so what all steps of that window have in common never changes again: it is emitted
-and forgotten. ``lookahead`` computes from the merge list how many bytes after a place can still matter to it, which
-bounds the memory of the window.
+The transducer therefore keeps one step per byte: the last token of the prefix that ends there. ``lookahead`` computes from
+the merge list how many bytes after a place can still matter to it; a token with so many bytes behind it never changes
+again: it is emitted and forgotten, which bounds the memory of the window. New pre-tokens of a batch are taken in byte order,
+so that each starts from the steps of the one before it.
 
 The decoder turns ids into bytes and bytes into text, holding back at most the bytes of one unfinished character.
 
@@ -22,12 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from querywright.llm.bpe import KNOWN_BYTES, KNOWN_PIECES, Pieces, Vocabulary, pretokens
+from querywright.llm.bpe import KNOWN_BYTES, Pieces, Vocabulary, pretokens
 
 NEVER = 1 << 30
 CHUNK = 1 << 16           # characters or ids fed at once
 HOLD = 1 << 12            # a longer unfinished pre-token is streamed into the transducer
 KNOWN_SEAMS = 1_000_000
+KNOWN_TEXTS = 700_000     # pre-tokens a worker remembers; others are merged anew
 
 
 class MergeRules:
@@ -41,8 +42,6 @@ class MergeRules:
         for made, (left, right, rank) in self.parts.items():
             if self._holds(left, right, rank):  # else its own bytes are merged differently, and it never comes out
                 self.ids[self.tokens[made]] = made
-        # every ending of a token, with the token it is itself, or -1
-        self.endings = {t[k:]: self.ids.get(t[k:], -1) for t in self.ids for k in range(len(t))}
         self.longest = max(map(len, self.ids))
 
     def _spine(self, token: int, side: int, until: int):
@@ -76,15 +75,16 @@ class MergeRules:
     def advance(self, data: bytes, last: list[int], before: int):
         """Find the last token of every further prefix of ``data``: the one token whose seam holds. ``last`` has those of
         the shorter prefixes, ``before`` is the token in front of the data or -1."""
-        endings, seams, seam = self.endings.get, self.seams.get, self.seam
+        ids, seams, seam = self.ids.get, self.seams.get, self.seam
         for end in range(len(last) + 1, len(data) + 1):
+            if before < 0 and (token := ids(data[:end])) is not None:
+                last.append(token)              # a prefix that is one token has no seam
+                continue
             start = end
             while start:
                 start -= 1
-                token = endings(data[start:end])
+                token = ids(data[start:end])
                 if token is None:
-                    raise ValueError("the vocabulary cannot express these bytes")
-                if token < 0:
                     continue
                 previous = last[start - 1] if start else before
                 if previous < 0 or (holds := seams(previous << 32 | token)) or (holds is None and seam(previous, token)):
@@ -115,7 +115,7 @@ class Transducer:
         self.data = b""        # the bytes from the last emitted place on
         self.last: list[int] = []      # by place: the last token of the prefix that ends there
         self.before = -1               # the token emitted last
-        self.check = 4 * rules.longest
+        self.check = 2 * rules.lookahead
         self.widest = 0
 
     def _trace(self, place: int) -> list[int]:
@@ -127,20 +127,18 @@ class Transducer:
         return out[::-1]
 
     def _settle(self) -> list[int]:
-        """Emit what all live steps share."""
-        live = set(range(max(0, len(self.last) - self.rules.longest + 1), len(self.last) + 1))
-        while len(live) > 1:
-            place = max(live)
-            live.remove(place)
-            live.add(place - len(self.rules.tokens[self.last[place - 1]]))
-        shared = live.pop()
-        out = self._trace(shared)
+        """Emit the tokens that nothing to come can change: those with at least ``lookahead`` bytes behind them."""
+        out = self._trace(len(self.last))
+        stable = len(self.last) - self.rules.lookahead
+        shared = len(self.last)
+        while out and shared > stable:
+            shared -= len(self.rules.tokens[out.pop()])
         if out:
             self.before = out[-1]
             self.data = self.data[shared:]
             del self.last[:shared]
         self.widest = max(self.widest, len(self.last))
-        self.check = len(self.last) + 4 * self.rules.longest
+        self.check = len(self.last) + self.rules.lookahead
         return out
 
     def feed(self, data: bytes) -> list[int]:
@@ -154,7 +152,7 @@ class Transducer:
 
     def finish(self) -> list[int]:
         out = self._trace(len(self.last))
-        self.data, self.last, self.before, self.check = b"", [], -1, 4 * self.rules.longest
+        self.data, self.last, self.before, self.check = b"", [], -1, 2 * self.rules.lookahead
         return out
 
 
@@ -178,6 +176,9 @@ class StreamEncoder:
         if len(data) > self.rules.longest:
             one = Transducer(self.rules)
             return _packed(one.feed(data) + one.finish())
+        whole = self.rules.ids.get(data)
+        if whole is not None:
+            return self.pack[1](whole)
         self.rules.advance(data, last, -1)
         out, place = [], len(data)
         while place:
@@ -200,10 +201,10 @@ class StreamEncoder:
             del last[same:]
             before = data
             fresh[data.decode()] = self._ids(data, last)
-        if len(known) < KNOWN_PIECES:
+        if len(known) < KNOWN_TEXTS:
             known.update(fresh)
             fresh = {}
-        out = []
+        out, get = [], fresh.get
         for text, parts in zip(texts, cut):
             if parts is None:
                 out.append(self.encode(text))
@@ -212,10 +213,8 @@ class StreamEncoder:
             for k, part in enumerate(parts):
                 if k % 2:
                     done.append(_packed([self.vocabulary.special[part]]))
-                elif fresh:
-                    done += [fresh[p] if p in fresh else known[p] for p in part]
                 else:
-                    done += map(known.__getitem__, part)
+                    done += [found if (found := get(p)) is not None else known[p] for p in part] if fresh else map(known.__getitem__, part)
             out.append(b"".join(done))
         return out
 
