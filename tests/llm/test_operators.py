@@ -384,11 +384,68 @@ def test_transducer_memory_is_bounded():
         one = transcode.Transducer(rules)
         for _ in range(300):
             one.feed(rnd.choice([b"the", b"ing", b"a", b"aa", b"er", b"  ", b"\n", b"tion"]))
-            assert len(one.data) <= 5 * rules.longest + rules.lookahead
+            assert len(one.data) <= rules.longest + 2 * rules.lookahead
         one._settle()
         assert len(one.last) <= rules.longest + rules.lookahead
 
 
+def test_lookahead_keeps_emitted_tokens():
+    """Whatever follows, tokens that were emitted are those of the library on the whole."""
+    rules, rnd = transcode.merge_rules(TOKENIZER), random.Random(4)
+    for _ in range(60):
+        data = "".join(rnd.choices(["the", "ing", "a", "ation", "er", "zq", "str", "th", "e", "n"], k=200))
+        one, out = transcode.Transducer(rules), []
+        for k in range(0, len(data), 7):
+            out += one.feed(data[k:k + 7].encode())
+            assert out == ids(data)[:len(out)]
+        assert out + one.finish() == ids(data)
+
+
+def test_secret_statistics_equal_numpy(spark):
+    rnd, alphabet = random.Random(1), secrets.ALPHABETS["base64"][1]
+    tokens = [("".join(rnd.choices(alphabet, k=n)), alphabet) for n in (20, 31, 64, 500)]
+    tokens += [("".join(rnd.choices("0123456789abcdef", k=40)), "0123456789abcdef"), ("a" * 24, alphabet)]
+    frame = spark.createDataFrame(tokens, "core string, chars string")
+    for row, (core, chars) in zip(frame.select(secrets._statistics(F.col("core"), F.col("chars")).alias("s")).collect(), tokens):
+        x, size = np.array([chars.index(c) for c in core], float), len(chars)
+        n, count = len(x), np.array([core.count(c) for c in set(core)], float)
+        chi = size / n * (count ** 2).sum() - n
+        high = x * 2 >= size
+        ups = high.sum()
+        runs, spread = 2 * ups * (n - ups) / n + 1, ((x - x.mean()) ** 2).sum()
+        scale = (runs - 1) * (runs - 2) / (n - 1)
+        want = [(chi - (size - 1)) / np.sqrt(2 * (size - 1) * (n - 1) / n),
+                ((high[1:] != high[:-1]).sum() + 1 - runs) / np.sqrt(scale) if scale > 0 else -6,
+                (((x[:-1] - x.mean()) * (x[1:] - x.mean())).sum() / spread + 1 / n) * np.sqrt(n) if spread > 0 else 6]
+        assert np.allclose(list(row.s), want, atol=1e-9)
+
+
+def test_long_tokens_and_many_matches_take_linear_time(spark):
+    rnd = random.Random(3)
+    token = "".join(rnd.choices(secrets.ALPHABETS["base64"][1], k=1_000_000))
+    row = secrets.find(spark.createDataFrame([(1, token)], "doc_id long, text string")).collect()[0]
+    assert [(s.start, s.end) for s in row.spans] == [(0, 1_000_000)]
+    text = "AKIA" + "A" * 16
+    many = spark.createDataFrame([(1, f"{text} " * 4_000)], "doc_id long, text string")
+    starts = [s.start for s in secrets.find(many).collect()[0].base]
+    assert starts == list(range(0, 21 * 4_000, 21))
+
+
+def test_false_discovery_bound_does_not_depend_on_corpus_size(spark):
+    rnd = random.Random(5)
+    texts = [" ".join("".join(rnd.choices(secrets.ALPHABETS["base64"][1], k=40)) for _ in range(3)) for _ in range(5)]
+    once = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    twice = spark.createDataFrame(list(enumerate(texts * 2)), "doc_id long, text string")
+    limits = [secrets.bounds(secrets.scan(df)) for df in (once, twice)]
+    assert limits[0] == limits[1] and min(limits[0]) < secrets.GRID
+
+
+def test_long_addresses_do_not_end_the_executor(spark):
+    text = "a@b" + ".c" * 20_000
+    made = pii.pseudonymise(spark.createDataFrame([(1, text)], "doc_id long, text string"), "k").select("out.kinds").first()
+    assert made.kinds == ["email"]
+
+
 def test_stream_decoder_equals_the_library():
     rnd = random.Random(8)
     decoder = transcode.StreamDecoder(Vocabulary.load(TOKENIZER))
@@ -507,3 +564,16 @@ def test_sharding_is_level_and_keeps_groups(docs, odd, spark, nothing):
     assert sharding.shard_rows(nothing).count() == 0
     group = [r.shard for r in sharding.shard_rows(hot).collect() if r.doc_id < 100]
     assert len(set(group)) <= 8
+
+
+def test_common_counts_and_blocked_links_equal_sets(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in sorted(rng.choice(40, 30, replace=False))) for _ in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pairs = spark.createDataFrame([(a, b) for a in range(30) for b in range(a + 1, 30)], "a long, b long")
+    sets = [{" ".join(w[i:i + 1]) for i in range(len(w))} for w in map(str.split, texts)]
+    want = {(a, b) for a in range(30) for b in range(a + 1, 30) if 100 * len(sets[a] & sets[b]) >= 60 * len(sets[a] | sets[b])}
+    for tile in (7, 2048):
+        monkeypatch.setattr(near_dedup, "TILE", tile)
+        assert {tuple(r) for r in near_dedup.links(docs, pairs, width=1, similar=60).collect()} == want
+    assert 0 < len(want) < 435
