@@ -4,6 +4,7 @@ from oracle.curation import CARDS
 from oracle.curation import SQL as CURATION
 from oracle.fixtures import with_
 from oracle.profiles import SQL as PROFILES
+from oracle.profiles import contents
 from oracle.prompting import prompt
 from oracle.scoring import SQL as SCORING
 from oracle.scoring import STRAT, norm
@@ -16,7 +17,7 @@ SQL = {
     "SRC03": with_("raw_pairs", _LOADED.format(sql="nullif(sql, '')")),
     "SRC07": with_("eval_rows", f"WITH s AS ({STRAT}) SELECT 'now' AS timestamp, max(total_questions) OVER () AS total_questions, strategy, " + ", ".join(f"round({c}, 6) AS {c}" for c in ("success_rate", "avg_confidence", "avg_execution_time", "avg_bleu_score", "execution_accuracy", "schema_compliance_rate")) + " FROM s"),
     "SNK01": f"SELECT split, count(*) AS n FROM ({CURATION['CUR14']}) GROUP BY 1",
-    "SNK02": f"WITH a AS ({PROFILES['CLN06']}), b AS (SELECT table_name, original_rows, final_rows, duplicates_removed FROM a UNION ALL SELECT 'customer', count(*), count(*), 0 FROM customer) SELECT * FROM b UNION ALL SELECT 'TOTAL', CAST(sum(original_rows) AS BIGINT), CAST(sum(final_rows) AS BIGINT), CAST(sum(duplicates_removed) AS BIGINT) FROM b",
+    "SNK02": with_("dirty_docs", f"WITH st AS ({PROFILES['CLN07']}), c AS ({contents()}) SELECT c.*, original_rows, final_rows, duplicates_removed FROM c JOIN st USING (table_name)"),
     "SNK03": f"SELECT strategy, avg_bleu_score, total_questions FROM ({SCORING['ANA18']})",
     "SNK04": with_("eval_rows", "SELECT question_id // 5 AS question_id, count(*) AS n_results FROM eval_rows GROUP BY 1"),
     "SNK05": "SELECT o_orderstatus, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1",

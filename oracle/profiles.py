@@ -95,9 +95,73 @@ _NULLS = "+".join(f"count(*) FILTER ({c} IS NULL)" for c in _DIRTY_COLS)
 _STATS = (f"SELECT 'dirty_docs' AS table_name, b.n AS original_rows, a.n AS final_rows, b.n - a.n AS duplicates_removed, "
           f"b.g AS original_nulls, a.g AS final_nulls, CAST(7 AS BIGINT) AS columns "
           f"FROM (SELECT count(*) AS n, {_NULLS} AS g FROM dirty_docs) b, (SELECT count(*) AS n, {_NULLS} AS g FROM ({_CLEAN})) a")
-_PLAIN = each(["customer", "orders", "part", "events", "labels"], lambda x: (
-    f"SELECT '{x}', (SELECT count(*) FROM {x}), (SELECT count(*) FROM (SELECT DISTINCT * FROM {x})), "
-    f"(SELECT count(*) FROM {x}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {x})), 0, 0, {_WIDTH[x]}"))
+# columns of the given tables by kind: keys (never filled), numbers, texts, others
+_KINDS = {
+    "region": ("r_regionkey", "", "r_name", ""),
+    "nation": ("n_nationkey", "n_regionkey", "n_name", ""),
+    "customer": ("c_custkey", "c_nationkey c_acctbal", "c_name c_mktsegment", ""),
+    "supplier": ("s_suppkey", "s_nationkey s_acctbal", "s_name", ""),
+    "part": ("p_partkey", "p_size p_retailprice", "p_name p_brand p_type", ""),
+    "orders": ("o_orderkey", "o_custkey o_totalprice", "o_orderstatus o_orderpriority", "o_orderdate"),
+    "lineitem": ("l_orderkey l_linenumber", "l_partkey l_suppkey l_quantity l_extendedprice l_discount l_tax",
+                 "l_returnflag l_linestatus", "l_shipdate"),
+    "events": ("event_id", "user_id value", "event_type props", "ts"),
+    "documents": ("doc_id", "n_chars", "text lang source", ""),
+    "embeddings": ("vec_id", "label", "", "embedding"),
+    "pages": ("page_id", "", "url html", ""),
+    "benchmark": ("item_id", "", "text", ""),
+    "labels": ("doc_id", "quality toxic", "", ""),
+    "conversations": ("conv_id turn", "", "role text", ""),
+}
+
+
+def _kinds(table):
+    return [k.split() for k in _KINDS[table]]
+
+
+def _filled(table):
+    keys, numbers, texts, others = _kinds(table)
+    return ", ".join([*keys, *others, *[_med(c) for c in numbers],
+                      *[f"lower(trim({c})) AS {c}" for c in texts]]), ", ".join([*keys, *others, *numbers, *[_mod(c) for c in texts]])
+
+
+def cleaned(table):
+    """A given table after all cleaning steps; none has dates as text."""
+    done, first = _filled(table)
+    return f"WITH src AS (SELECT DISTINCT * FROM {table}) SELECT {done} FROM (SELECT {first} FROM src)"
+
+
+def _gaps(table):
+    return " + ".join(f"count(*) FILTER ({c} IS NULL)" for kind in _kinds(table) for c in kind)
+
+
+def _table_stats(x):
+    return (f"SELECT '{x}', b.n, a.n, b.n - a.n, b.g, a.g, {_WIDTH[x]} FROM (SELECT count(*) AS n, {_gaps(x)} AS g FROM {x}) b, "
+            f"(SELECT count(*) AS n, {_gaps(x)} AS g FROM ({cleaned(x)})) a")
+
+
+_PLAIN = each(_TABLES, _table_stats)
+
+
+def _contents(name, rows, numbers, texts, others):
+    def one(c):
+        if c in others:
+            total = "CAST(NULL AS BIGINT)"
+        else:
+            total = f"sum(length({c}))" if c in texts else f"sum(CAST(floor(CAST({c} AS DOUBLE) * 100 + 0.5) AS BIGINT))"
+        return f"SELECT '{name}' AS table_name, '{c}' AS \"column\", count({c}) AS n, CAST({total} AS BIGINT) AS total FROM ({rows})"
+    return each([*numbers, *texts, *others], one)
+
+
+def contents():
+    """Values and totals per column of every cleaned table."""
+    dirty = _contents("dirty_docs", f"WITH src AS ({_DEDUPED}) {_CLEAN}", ["doc_id", "n_chars", "quality", "toxic"],
+                      ["lang", "source"], ["created_timestamp"])
+    def one(x):
+        keys, numbers, texts, others = _kinds(x)
+        return _contents(x, cleaned(x), keys + numbers, texts, others)
+    return f"{dirty} UNION ALL {each(_TABLES, one)}"
+
 
 _KEYS = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey",
          "part": "p_partkey", "orders": "o_orderkey", "lineitem": "l_orderkey,l_linenumber", "events": "event_id",

@@ -4,10 +4,12 @@ from pyspark.sql import functions as F
 
 from querywright.functions.sqltext import normalise
 from querywright.operators import analytics, catalog, clean, curate, models
-from querywright.plans.fixtures import columns_catalog, dirty_docs, eval_rows, qa_pairs, raw_pairs, sql_pairs, user_questions, with_run_outcome
+from querywright.plans.fixtures import columns_catalog, eval_rows, qa_pairs, raw_pairs, sql_pairs, user_questions, with_run_outcome
 from querywright.plans.prompting import SCHEMA
+from querywright.plans.profiles import CATALOG_KEYS, whole_catalog
 from querywright.plans.scoring import all_rounded, log
 from querywright.operators.prompts import register_strategy, render_prompts, Strategy
+from querywright.scale import union_all
 from querywright.sources import pairs, sinks
 from querywright.streaming import history
 
@@ -56,10 +58,27 @@ def snk01(t):
 
 
 def snk02(t):
+    """Every cleaned table as written: values and content totals (characters, or hundredths) per column."""
     folder = history.work_folder(t.spark, "clean")
-    cleaned, stats = clean.clean_catalog({"dirty_docs": dirty_docs(t), "customer": t.customer}, ("doc_id", "c_custkey"))
-    sinks.write_clean(cleaned, stats, folder)
-    return t.spark.read.json(f"{folder}/stats").select("table_name", "original_rows", "final_rows", "duplicates_removed")
+    tables = whole_catalog(t)
+    sinks.write_clean(tables, folder, CATALOG_KEYS)
+
+    def columns_of(name):
+        rows = clean.read_clean(t.spark, folder, name)
+        kinds = dict(rows.dtypes)
+
+        def total(c):
+            if kinds[c] == "string":
+                return F.sum(F.length(c).cast("long"))
+            if kinds[c] in ("int", "bigint", "double"):
+                return F.sum(F.floor(F.col(c).cast("double") * 100 + 0.5))
+            return F.lit(None).cast("long")
+
+        one = rows.agg(*[F.struct(F.lit(c).alias("column"), F.count(c).alias("n"), total(c).alias("total")).alias(c) for c in kinds])
+        return one.select(F.lit(name).alias("table_name"), F.explode(F.array(*kinds)).alias("c")).select("table_name", "c.*")
+
+    stats = t.spark.read.json(f"{folder}/stats").select("table_name", "original_rows", "final_rows", "duplicates_removed")
+    return union_all([columns_of(name) for name in tables]).join(stats, "table_name")
 
 
 def snk03(t):

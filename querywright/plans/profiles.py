@@ -6,9 +6,15 @@ from querywright.operators import charts, clean, profile
 from querywright.plans.fixtures import dirty_docs, eval_rows, sql_pairs
 from querywright.scale import union_all
 from querywright.sources.tables import FOREIGN_KEYS, NAMES, PRIMARY_KEYS, load_report
+from querywright.streaming.history import work_folder
 
 PROFILED_SQL = "SELECT o_custkey, COUNT(*) FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY o_custkey ORDER BY 2"
 METRICS = ["execution_correct", "bleu_score", "schema_compliant"]
+CATALOG_KEYS = {**PRIMARY_KEYS, "dirty_docs": ["doc_id"]}
+
+
+def whole_catalog(t):
+    return {"dirty_docs": dirty_docs(t), **{name: getattr(t, name) for name in NAMES}}
 
 
 def rounded(df, *names, digits=6):
@@ -187,8 +193,7 @@ def cln06(t):
 
 
 def cln07(t):
-    tables = {"dirty_docs": dirty_docs(t), **{n: getattr(t, n) for n in ("customer", "orders", "part", "events", "labels")}}
-    return clean.clean_catalog(tables, keys=("doc_id", "c_custkey", "o_orderkey", "p_partkey", "event_id"))[1]
+    return clean.clean_catalog(whole_catalog(t), work_folder(t.spark, "catalog"), CATALOG_KEYS)
 
 
 def cleaned_docs(t):

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from querywright.operators.analytics import best_technique, recommendations
+from querywright.operators.clean import clean_catalog
 from querywright.scale import estimated_bytes
 
 
@@ -12,12 +13,9 @@ def write_splits(df: DataFrame, folder: str, column: str = "split") -> None:
     df.write.mode("overwrite").partitionBy(column).json(folder)
 
 
-def write_clean(tables: dict, stats: DataFrame, folder: str, format: str = "parquet") -> None:
-    """Cleaned tables (parquet, or csv with header) and their statistics as JSON."""
-    for name, df in tables.items():
-        options = {"header": "true"} if format == "csv" else {}
-        df.write.mode("overwrite").format(format).options(**options).save(f"{folder}/{name}")
-    stats.write.mode("overwrite").json(f"{folder}/stats")
+def write_clean(tables: dict, folder: str, keys: dict | None = None, format: str = "parquet") -> None:
+    """Cleaned tables (parquet, or csv with header) under ``folder/tables`` and their statistics as JSON."""
+    clean_catalog(tables, folder, keys, format).write.mode("overwrite").json(f"{folder}/stats")
 
 
 def write_metrics(df: DataFrame, folder: str) -> None:
