@@ -16,6 +16,7 @@ SCORE_WEIGHTS = {
     "speed": -0.1, "success_rate": 0.1, "avg_confidence": 0.05,
 }
 COMPLEXITIES = ("simple", "medium", "complex")
+QUERY_TYPES = ("select_simple", "select_join", "select_aggregate", "insert", "update", "delete", "create", "unknown")
 LENGTH_CLASSES = ("Short (<50)", "Medium (50-150)", "Long (>150)")
 
 
@@ -29,13 +30,15 @@ def calibration(confidence="confidence_score", correct="execution_correct") -> C
     return F.when(F.count(F.lit(1)) < 2, 0.0).otherwise(F.greatest(F.lit(0.0), F.coalesce(r, F.lit(0.0))))
 
 
+def _headline() -> dict:
+    return {"total_samples": F.count(F.lit(1)), "execution_accuracy": rate("execution_correct"),
+            "exact_match_accuracy": rate("exact_match"), "schema_compliance_rate": rate("schema_compliant"),
+            "average_bleu_score": F.avg("bleu_score"), "average_response_time": F.avg("response_time"),
+            "average_confidence": F.avg("confidence_score"), "error_rate": rate(F.col("error_message").isNotNull())}
+
+
 def headline(df: DataFrame, keys=()) -> DataFrame:
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total_samples"), rate("execution_correct").alias("execution_accuracy"),
-        rate("exact_match").alias("exact_match_accuracy"), rate("schema_compliant").alias("schema_compliance_rate"),
-        F.avg("bleu_score").alias("average_bleu_score"), F.avg("response_time").alias("average_response_time"),
-        F.avg("confidence_score").alias("average_confidence"),
-        rate(F.col("error_message").isNotNull()).alias("error_rate"))
+    return df.groupBy(*keys).agg(*[c.alias(n) for n, c in _headline().items()])
 
 
 def _distribution(df, keys, value, probs):
@@ -84,28 +87,88 @@ def by_complexity(df: DataFrame, sql: str = "predicted_sql") -> DataFrame:
         "complexity", F.coalesce("count", F.lit(0)).alias("count"), F.coalesce("accuracy", F.lit(0.0)).alias("accuracy"))
 
 
+# Measures of a statement type; {f} takes a FILTER. A failed call adds nothing to the time but counts in its average.
+TYPE_MEASURES = {
+    "count": "count(*){f}",
+    "execution_correct": "sum(CAST(execution_correct AS BIGINT)){f}",
+    "exact_match": "sum(CAST(exact_match AS BIGINT)){f}",
+    "execution_accuracy": "avg(CAST(execution_correct AS DOUBLE)){f}",
+    "exact_match_accuracy": "avg(CAST(exact_match AS DOUBLE)){f}",
+    "avg_bleu_score": "avg(bleu_score){f}",
+    "avg_response_time": "try_divide(coalesce(sum(CASE WHEN response_time <> double('infinity') THEN response_time END){f}, 0.0D), count(*){f})",
+}
+
+
 def by_query_type(df: DataFrame, sql: str = "predicted_sql") -> DataFrame:
-    """Per statement type. A failed call adds nothing to the time but counts in its average."""
-    n = F.count(F.lit(1))
+    """Measures per statement type."""
     return df.groupBy(query_type(sql).alias("query_type")).agg(
-        n.alias("count"), F.sum(F.col("execution_correct").cast("long")).alias("execution_correct"),
-        F.sum(F.col("exact_match").cast("long")).alias("exact_match"),
-        rate("execution_correct").alias("execution_accuracy"), rate("exact_match").alias("exact_match_accuracy"),
-        F.avg("bleu_score").alias("avg_bleu_score"),
-        (F.coalesce(F.sum(ok_time()), F.lit(0.0)) / n).alias("avg_response_time"))
-
-
-def report(df: DataFrame) -> DataFrame:
-    """Everything about one log in long form (section, item, metric, value)."""
-    def long(frame, section, item=F.lit("all")):
-        metrics = [c for c in frame.columns if c not in ("complexity", "query_type")]
-        cells = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])
-        return frame.select(F.lit(section).alias("section"), item.alias("item"), F.explode(cells).alias("c")).select(
-            "section", "item", "c.metric", "c.value")
-    return union_all([
-        long(headline(df), "overall"), long(time_stats(df), "response_time"), long(bleu_stats(df), "bleu_score"),
-        long(confidence_stats(df), "confidence"), long(by_complexity(df), "complexity", F.col("complexity")),
-        long(by_query_type(df), "query_type", F.col("query_type"))])
+        *[F.expr(m.format(f="")).alias(n) for n, m in TYPE_MEASURES.items()])
+
+
+# values of the report that are read at quantiles, and under which names
+REPORT_QUANTILES = {
+    "response_time": {"median": 0.5, "p95": 0.95, "p99": 0.99},
+    "bleu_score": {"median": 0.5, "p25": 0.25, "p75": 0.75},
+    "confidence_score": {"median": 0.5},
+}
+
+
+def report(df: DataFrame, sql: str = "predicted_sql", sized_by: DataFrame | None = None) -> DataFrame:
+    """Everything about one log in long form (section, item, metric, value).
+
+    Statement and complexity classes are few and known, so all measures are conditional aggregates of one pass without
+    keys: each task sends one row. The quantiles belong to the same pass while the log fits one task (``sized_by`` is
+    the table that bounds the log when it is itself a join); beyond that the three values take one distributed quantile
+    plan together. An empty log has zeros, and no statement types."""
+    rows = df.select("execution_correct", "exact_match", "schema_compliant", "bleu_score", "response_time", "confidence_score",
+                     "error_message", complexity(sql).alias("_complexity"), query_type(sql).alias("_type"))
+    small = fits(df if sized_by is None else sized_by)
+    values = {"response_time": ok_time(), "bleu_score": F.col("bleu_score"), "confidence_score": F.col("confidence_score")}
+
+    def spread_of(c):
+        return {"min": F.min(values[c]), "max": F.max(values[c]), "std": F.stddev_pop(values[c])}
+
+    def filtered(measures, column, item):
+        where = f" FILTER (WHERE {column} = '{item}')"
+        return F.expr("struct(" + ", ".join(f"double({m.format(f=where)}) AS {n}" for n, m in measures.items()) + ")")
+
+    def together(measures):
+        return F.struct(*[c.cast("double").alias(n) for n, c in measures.items()])
+
+    class_measures = {n: TYPE_MEASURES[m] for n, m in (("count", "count"), ("accuracy", "execution_accuracy"))}
+    overall = _headline()
+    parts = {("overall", "all"): (overall, together(overall))}
+    for section, column in (("response_time", "response_time"), ("bleu_score", "bleu_score"), ("confidence", "confidence_score")):
+        measures = spread_of(column)
+        if section == "confidence":
+            measures["calibration_score"] = calibration()
+        parts[section, "all"] = measures, together(measures)
+    parts.update({("complexity", c): (class_measures, filtered(class_measures, "_complexity", c)) for c in COMPLEXITIES})
+    parts.update({("query_type", c): (TYPE_MEASURES, filtered(TYPE_MEASURES, "_type", c)) for c in QUERY_TYPES})
+    aggregates = [c.alias(f"{section}_{item}") for (section, item), (_, c) in parts.items()]
+    if small:
+        aggregates += [F.percentile(v, list(REPORT_QUANTILES[c].values())).alias(f"_{c}") for c, v in values.items()]
+    one = rows.agg(*aggregates)
+    if not small:
+        probs = {f"q{p}".replace(".", "_"): p for p in sorted({p for q in REPORT_QUANTILES.values() for p in q.values()})}
+        long = rows.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), v.alias("value")) for c, v in values.items()]))
+                           .alias("c")).select("c.*")
+        q = quantiles(long, ["column"], "value", probs, distributed=True)
+        wide = q.agg(*[F.max(F.when(F.col("column") == c, F.array(*[F.col(f"q{p}".replace(".", "_")) for p in names.values()])))
+                       .alias(f"_{c}") for c, names in REPORT_QUANTILES.items()])
+        one = one.crossJoin(F.broadcast(wide))  # one row each
+
+    cells = []
+    for (section, item), (measures, _) in parts.items():
+        got = {m: f"{section}_{item}.{m}" for m in measures}
+        column = "confidence_score" if section == "confidence" else section
+        for i, m in enumerate(REPORT_QUANTILES.get(column, ())):
+            got[m] = f"get(_{column}, {i})"
+        there = f"{section}_{item}.count > 0" if section == "query_type" else "true"
+        zero = section in ("response_time", "bleu_score", "complexity")
+        cells += [f"struct('{section}' AS section, '{item}' AS item, '{m}' AS metric, "
+                  f"{f'coalesce({v}, 0.0D)' if zero else v} AS value, {there} AS there)" for m, v in got.items()]
+    return one.select(F.expr(f"inline(array({', '.join(cells)}))")).filter("there").drop("there")
 
 
 def metric_rows(df: DataFrame, metric: str) -> DataFrame:
