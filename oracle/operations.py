@@ -12,6 +12,11 @@ from oracle.scoring import STRAT, norm
 _LOADED = "SELECT count(*) AS n, count(question) AS questions, count({sql}) AS statements, count(schema_context) AS contexts, CAST(sum(length(sql)) AS BIGINT) AS sql_chars FROM raw_pairs"
 
 SQL = {
+    "SRC01": with_("raw_pairs", _LOADED.format(sql="sql")),
+    "SRC04": with_("raw_pairs", " UNION ALL ".join(
+        f"SELECT *, '{kind}' AS kind FROM ({_LOADED.format(sql=sql)}{rows})" for kind, sql, rows in (
+            ("json", "sql", ""), ("jsonl", "sql", ""), ("csv", "nullif(sql, '')", ""), ("xml", "sql", " WHERE false"),
+            ("missing", "sql", " WHERE false")))),
     "SRC02": with_("raw_pairs", _LOADED.format(sql="sql")),
     # an empty text and no text are the same in CSV
     "SRC03": with_("raw_pairs", _LOADED.format(sql="nullif(sql, '')")),

@@ -11,6 +11,7 @@ from querywright.plans.scoring import all_rounded, log
 from querywright.operators.prompts import register_strategy, render_prompts, Strategy
 from querywright.scale import union_all
 from querywright.sources import pairs, sinks
+from querywright.sources.jsonarray import write_json_array
 from querywright.streaming import history
 
 
@@ -21,6 +22,8 @@ def written_pairs(t, kind):
     writer = rows.write.mode("overwrite")
     if kind == "csv":
         writer.options(header="true", escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(folder)
+    elif kind == "json":
+        write_json_array(rows, folder)
     else:
         writer.json(folder)
     return pairs.load_pairs(t.spark, folder)
@@ -31,6 +34,18 @@ def loaded_summary(df):
                   F.count("schema_context").alias("contexts"), F.sum(F.length("sql")).alias("sql_chars"))
 
 
+def src01(t):
+    return loaded_summary(written_pairs(t, "json"))
+
+
+def src04(t):
+    """Every suffix, one that is not supported and a missing file, side by side."""
+    frames = {kind: written_pairs(t, kind) for kind in ("json", "jsonl", "csv")}
+    frames["xml"] = pairs.load_pairs(t.spark, f"{t.folder}/documents.xml")
+    frames["missing"] = pairs.load_pairs(t.spark, f"{t.folder}/no such file.json")
+    return union_all([loaded_summary(df).withColumn("kind", F.lit(kind)) for kind, df in frames.items()])
+
+
 def src02(t):
     return loaded_summary(written_pairs(t, "jsonl"))
 

@@ -5,6 +5,7 @@ from pathlib import PurePosixPath
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from querywright.sources.jsonarray import read_json_array
 from querywright.sources.tables import _exists
 
 PAIR_SCHEMA = "question string, sql string, schema_context string, category string, complexity string"
@@ -14,15 +15,16 @@ RESULTS_SCHEMA = ("metadata struct<timestamp: string, total_questions: bigint>,
 
 
 def load_pairs(spark: SparkSession, path: str, schema: str = PAIR_SCHEMA) -> DataFrame:
-    """Pairs from a JSON array, JSON lines or a CSV with header. A missing or unsupported file is an
-    empty frame. Unreadable lines are kept in ``_corrupt_record``."""
+    """Pairs from JSON arrays (in ranges, by many tasks), JSON lines or a CSV with header. A missing or unsupported file is
+    an empty frame. Unreadable lines and elements are kept in ``_corrupt_record``."""
     kind = PurePosixPath(path).suffix.lower()
     if kind not in (".json", ".jsonl", ".csv") or not _exists(spark, path):
         return spark.createDataFrame([], schema)
     if kind == ".csv":
         return spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"', enforceSchema=False)
-    with_bad = schema + ", _corrupt_record string"
-    return spark.read.schema(with_bad).json(path, multiLine=kind == ".json", columnNameOfCorruptRecord="_corrupt_record")
+    if kind == ".json":
+        return read_json_array(spark, path, schema)
+    return spark.read.schema(schema + ", _corrupt_record string").json(path, columnNameOfCorruptRecord="_corrupt_record")
 
 
 def load_results(spark: SparkSession, paths, schema: str = RESULTS_SCHEMA) -> DataFrame | None:
