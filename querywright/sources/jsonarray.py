@@ -22,6 +22,14 @@ _ESCAPED = re.compile(rb"\\.", re.S)
 _OPEN, _CLOSE = np.isin(np.arange(256), list(b"[{")), np.isin(np.arange(256), list(b"]}"))
 
 
+SCHEMES = ("file", "hdfs", "s3", "gs", "abfs", "abfss")  # what a task can open at a byte
+
+
+def opens(path: str) -> bool:
+    scheme = path.split(":", 1)[0] if ":" in path else "file"
+    return scheme in SCHEMES
+
+
 def _open(path: str):
     if path.startswith("file:") or path.startswith("/"):
         return fs.LocalFileSystem().open_input_file("/" + path.removeprefix("file:").lstrip("/"))

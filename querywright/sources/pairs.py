@@ -5,7 +5,7 @@ from pathlib import PurePosixPath
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from querywright.sources.jsonarray import read_json_array
+from querywright.sources.jsonarray import opens, read_json_array
 from querywright.sources.tables import _exists
 
 PAIR_SCHEMA = "question string, sql string, schema_context string, category string, complexity string"
@@ -22,9 +22,11 @@ def load_pairs(spark: SparkSession, path: str, schema: str = PAIR_SCHEMA) -> Dat
         return spark.createDataFrame([], schema)
     if kind == ".csv":
         return spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"', enforceSchema=False)
-    if kind == ".json":
+    if kind == ".json" and opens(path):
         return read_json_array(spark, path, schema)
-    return spark.read.schema(schema + ", _corrupt_record string").json(path, columnNameOfCorruptRecord="_corrupt_record")
+    # file systems that only Spark's readers know: one task per JSON array
+    with_bad = schema + ", _corrupt_record string"
+    return spark.read.schema(with_bad).json(path, multiLine=kind == ".json", columnNameOfCorruptRecord="_corrupt_record")
 
 
 def load_results(spark: SparkSession, paths, schema: str = RESULTS_SCHEMA) -> DataFrame | None:

@@ -65,3 +65,12 @@ def test_round_trip(spark, tmp_path):
     back = jsonarray.read_json_array(spark, str(tmp_path / "out"), "id long, s string", range_bytes=200)
     assert back.filter("_corrupt_record IS NULL").count() == back.count() == 500
     assert not back.select("id", "s").exceptAll(df).count()
+
+
+def test_paths_only_spark_opens(spark, tmp_path):
+    """A mounted path is read by Spark's own reader."""
+    (tmp_path / "a.json").write_text('[{"question": "q"}, {"question": "r"}]')
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.pairs.link./in", f"file://{tmp_path}")
+    assert not jsonarray.opens("viewfs://pairs/in/a.json")
+    assert sorted(r.question for r in pairs.load_pairs(spark, "viewfs://pairs/in/a.json").collect()) == ["q", "r"]
