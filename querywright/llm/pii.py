@@ -12,7 +12,7 @@ values never share one. Separators, signs and widths stay.
 | ssn | area, group and serial in use | area x group x serial |
 | ip | four octets | both halves |
 | date | calendar date 1500-2499, ISO, dotted (d.m.y) or slashed (d/m/y, else m/d/y) | day number, in blocks of 73,000 days |
-| phone | 9-15 digits, with a plus sign or separators | all digits |
+| phone | 9-15 digits in the shape of a phone number (``PHONE``), not a row of years | all digits |
 | email | local part, at sign, dotted domain | (no number) keyed digest as local part, reserved domain |
 
 A two-sided Feistel network over a x b needs no equal halves: left gains f(right) modulo a, right gains f(left) modulo b, in
@@ -57,6 +57,14 @@ LONGEST = 34              # characters of an IBAN: no value has more pieces
 STRICT = "^(?:" + "|".join([r"[0-9]{13,19}", r"[0-9]{4}(?:[\x20-][0-9]{4}){3}", r"[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{5}", r"[A-Z]{2}[0-9]{2}[A-Z0-9\x20]*",
                             r"(?:\+[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[.-][0-9]{4}",
                             *(p for k, p in PATTERNS if k in ("date", "ip", "ssn"))]) + ")$"
+# Shapes of phone numbers. Digits that blanks alone part are taken for numbers of a table or a sentence, save in these shapes.
+PHONE = "^(?:" + "|".join([
+    r"\+[1-9][0-9\x20().-]*",                                                              # country code
+    r"(?:1[\x20.-]?)?\([0-9]{2,5}\)[\x20.-]?[0-9]{2,4}(?:[\x20.-]?[0-9]{2,4}){1,3}",       # area in parentheses
+    r"(?:1[\x20.-])?[2-9][0-9]{2}[\x20.-][0-9]{3}[\x20.-][0-9]{4}",                         # three, three and four digits
+    r"0[0-9]{1,4}[\x20.-][0-9]{2,8}(?:[\x20.-][0-9]{2,8}){0,4}",                            # trunk zero or 00
+    r"[0-9]{2,4}(?:-[0-9]{2,4}){2,4}"]) + ")$"                                              # hyphens
+YEARS = r"^(?:(?:1[5-9]|2[0-4])[0-9]{2}[^0-9]{1,2})*(?:1[5-9]|2[0-4])[0-9]{2}$"
 KINDS = ("email", "iban", "date", "ip", "ssn", "card", "phone")
 
 
@@ -123,8 +131,8 @@ def card(value: Column, key: str) -> Column:
 def phone(value: Column, key: str) -> Column:
     def body(d: Column) -> Column:
         shaped_ssn = value.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$")
-        marked = (value.startswith("+") | value.rlike(r"[\x20().-]")) & ~shaped_ssn
-        return F.when(F.char_length(d).between(9, 15) & marked, refilled(value, permuted_digits(d, key, "phone")))
+        shaped = value.rlike(PHONE) & ~value.rlike(YEARS) & ~shaped_ssn
+        return F.when(F.char_length(d).between(9, 15) & shaped, refilled(value, permuted_digits(d, key, "phone")))
     return let(only_digits(value), body)
 
 

@@ -284,6 +284,20 @@ def test_pii_tells_adjacent_values_apart(spark):
         assert "4111111111111111" not in row.out.text.replace(" ", "") and "415-555" not in row.out.text and "2024-01-15" not in row.out.text
 
 
+PHONES = ["+44 20 7946 0958", "+14155552671", "(202) 555-0143", "1 (202) 555-0143", "1-800-555-0199", "415 555 2671", "415.555.2671",
+          "202 555-0143", "020 7946 0958", "0049 30 123456", "030-1234-5678", "0151 23456789", "01-23-45-67-89"]
+NO_PHONES = ["Census 1990: 24810 51235 villages; figures 2001 2011 2021 rose", "1990-2000-2010", "1.234.567.890", "1 234 567 890",
+             "totals 612 345 678", "ISBN 978-0-306-40615-7", "version 10.20.3000.4000", " ".join(str(20_000 + 7 * i) for i in range(200)),
+             "3.14159 26535 89793", "123456789", "rows 1200 3400 5600 7800"]
+
+
+def test_pii_tells_phones_from_numbers(spark):
+    frame = spark.createDataFrame([(f"call {t} now",) for t in PHONES + NO_PHONES], "text string").coalesce(1)
+    got = [r.out for r in pii.pseudonymise(frame, "k").collect()]
+    assert [(t, o.kinds) for t, o in zip(PHONES, got)] == [(t, ["phone"]) for t in PHONES]
+    assert [(t, o.kinds, o.text) for t, o in zip(NO_PHONES, got[len(PHONES):])] == [(t, [], f"call {t} now") for t in NO_PHONES]
+
+
 def test_pii_permutes(spark):
     numbers = spark.range(10_000).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("d"))
     made = numbers.select(pii.permuted_digits(F.col("d"), "k", "t").alias("v")).distinct().collect()
