@@ -7,7 +7,7 @@ values never share one. Separators, signs and widths stay.
 
 | kind | validated by | permuted |
 |---|---|---|
-| card | 13-19 digits, Luhn | all but the last digit, which is computed anew |
+| card | 13-19 digits, unbroken or in the groups of a card (``CARD``), not a row of years; Luhn | all but the last digit, which is computed anew |
 | iban | ISO 7064 mod 97 | the digits of the account part; the check digits are computed anew |
 | ssn | area, group and serial in use | area x group x serial |
 | ip | four octets | both halves |
@@ -64,6 +64,8 @@ PHONE = "^(?:" + "|".join([
     r"(?:1[\x20.-])?[2-9][0-9]{2}[\x20.-][0-9]{3}[\x20.-][0-9]{4}",                         # three, three and four digits
     r"0[0-9]{1,4}[\x20.-][0-9]{2,8}(?:[\x20.-][0-9]{2,8}){0,4}",                            # trunk zero or 00
     r"[0-9]{2,4}(?:-[0-9]{2,4}){2,4}"]) + ")$"                                              # hyphens
+# Shapes of card numbers: unbroken, groups of four, or 4-6-4 and 4-6-5
+CARD = r"^(?:[0-9]{13,19}|[0-9]{4}(?:[\x20-][0-9]{4}){2,3}(?:[\x20-][0-9]{1,4})?|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{4,5})$"
 YEARS = r"^(?:(?:1[5-9]|2[0-4])[0-9]{2}[^0-9]{1,2})*(?:1[5-9]|2[0-4])[0-9]{2}$"
 KINDS = ("email", "iban", "date", "ip", "ssn", "card", "phone")
 
@@ -124,7 +126,8 @@ def card(value: Column, key: str) -> Column:
     def body(d: Column) -> Column:
         fresh = let(permuted_digits(F.substring(d, F.lit(1), F.char_length(d) - 1), key, "card"), lambda p: F.concat(
             p, F.pmod(10 - luhn_sum(p, True) % 10, F.lit(10)).cast("string")))
-        return F.when(F.char_length(d).between(13, 19) & (luhn_sum(d, False) % 10 == 0), refilled(value, fresh))
+        shaped = value.rlike(CARD) & ~value.rlike(YEARS)
+        return F.when(F.char_length(d).between(13, 19) & shaped & (luhn_sum(d, False) % 10 == 0), refilled(value, fresh))
     return let(only_digits(value), body)
 
 
