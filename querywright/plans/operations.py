@@ -172,7 +172,7 @@ def str01(t):
     stream = history.read_events(t.spark, t.folder, "events.parquet")
     history.append_history(stream.unionByName(history.read_events(t.spark, t.folder, "events.parquet")),
                            f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
-    return t.spark.read.parquet(f"{folder}/table").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return history.read_history(t.spark, f"{folder}/table", stream.schema).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 def str02(t):

@@ -5,6 +5,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+
+from querywright.scale import checked_broadcast
+
+DAY = "_history_day"      # partition of a history; rows without a time lie under "none"
+SPANS = "_spans"          # beside the partitions: per batch and day the keys it brought (readers skip the name)
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
@@ -27,18 +33,56 @@ def read_events(spark: SparkSession, folder: str, pattern: str = "events*", file
     return reader.parquet(folder).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def append_history(events: DataFrame, path: str, checkpoint: str, key: str = "event_id"):
-    """Append events to a parquet history, one of each key (nulls count as one key).
+def read_history(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The events of a history as they were appended."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def known_keys(spark: SparkSession, path: str, field: StructField, low, high, null: bool) -> DataFrame:
+    """The keys a history holds from ``low`` to ``high`` (None: none), and the null key if asked for.
+
+    Only days into whose spans these keys fall are read: the join with them prunes partitions at run time. Inside a day files
+    and row groups are skipped by their statistics, since they lie sorted by key."""
+    day = StructField(DAY, StringType())
+    spans = spark.read.schema(StructType([day, StructField("low", field.dataType), StructField("high", field.dataType),
+                                          StructField("has_null", BooleanType())])).parquet(f"{path}/{SPANS}")
+    key, near, inside = F.col(field.name), F.lit(False), F.lit(False)
+    if low is not None:
+        near, inside = (F.col("low") <= F.lit(high)) & (F.col("high") >= F.lit(low)), key.between(F.lit(low), F.lit(high))
+    if null:
+        near, inside = near | F.col("has_null"), inside | key.isNull()
+    days = checked_broadcast(spans.filter(near).select(DAY).distinct())
+    rows = spark.read.schema(StructType([field, day])).parquet(path).filter(inside)
+    return rows.join(days, DAY, "left_semi").select(key.alias("_known"))
+
+
+def append_history(events: DataFrame, path: str, checkpoint: str, key: str = "event_id", time: str = "ts"):
+    """Append events to a parquet history, one of each key (nulls count as one key), partitioned by the day of ``time``.
 
-    Every micro-batch drops its own copies and what the history holds already, so neither the order of the files nor the
-    distance of two copies matters, and a batch that is repeated after a failure adds nothing twice."""
-    spark = events.sparkSession
-    spark.createDataFrame([], events.schema).write.mode("append").parquet(path)
+    Every micro-batch drops its own copies and what the history holds already. Copies of one key meet wherever they lie: a batch
+    reads each day that ever received keys within its own span of keys, and of those days only that span. Keys that grow with
+    time thus cost a batch its own days; keys without any order cost it all days. The order of the files and the distance of two
+    copies do not matter. Spans are written before the rows they announce, so a batch that is repeated after a failure
+    finds what it left and adds nothing twice. A busy day is written by several tasks."""
+    spark, field = events.sparkSession, events.schema[key]
+    if DAY in events.columns:
+        raise ValueError(f"the events hold a column named {DAY}")
+    keyed = lambda rows: rows.withColumn(DAY, F.coalesce(F.date_format(time, "yyyy-MM-dd"), F.lit("none")))
+    empty = spark.createDataFrame([], events.schema)
+    span = (F.min(key).alias("low"), F.max(key).alias("high"), F.coalesce(F.max(F.col(key).isNull()), F.lit(False)).alias("has_null"))
+    keyed(empty).write.partitionBy(DAY).mode("append").parquet(path)
+    keyed(empty).groupBy(DAY).agg(*span).write.mode("append").parquet(f"{path}/{SPANS}")
 
     def add(batch: DataFrame, _):
-        old = batch.sparkSession.read.schema(events.schema).parquet(path).select(F.col(key).alias("_known"))
-        fresh = batch.dropDuplicates([key])
-        fresh.join(old, F.col(key).eqNullSafe(F.col("_known")), "left_anti").write.mode("append").parquet(path)
+        batch = keyed(batch).persist()
+        try:
+            all_of_it = batch.agg(*span).first()
+            old = known_keys(batch.sparkSession, path, field, *all_of_it)
+            batch.groupBy(DAY).agg(*span).coalesce(1).write.mode("append").parquet(f"{path}/{SPANS}")
+            fresh = batch.dropDuplicates([key]).join(old, F.col(key).eqNullSafe(F.col("_known")), "left_anti")
+            fresh.repartitionByRange(DAY, key).sortWithinPartitions(DAY, key).write.partitionBy(DAY).mode("append").parquet(path)
+        finally:
+            batch.unpersist()
 
     return (events.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

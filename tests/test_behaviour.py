@@ -2,6 +2,7 @@
 
 import math
 import os
+from datetime import datetime, timedelta
 
 import pandas as pd
 import pytest
@@ -176,10 +177,54 @@ def test_history_takes_files_in_any_order(spark, tables, tmp_path):
         os.utime(path, (1_600_000_000 + place, 1_600_000_000 + place))
     stream = history.read_events(spark, str(tmp_path), files_per_trigger=1)
     history.append_history(stream, str(tmp_path / "table"), str(tmp_path / "checkpoint")).awaitTermination()
-    got = sorted(r.event_id for r in spark.read.parquet(str(tmp_path / "table")).collect())
+    got = sorted(r.event_id for r in history.read_history(spark, str(tmp_path / "table"), stream.schema).collect())
     assert got == sorted(events.event_id)
 
 
+def _appended(spark, folder, files, schema="event_id long, ts timestamp, v int"):
+    """Each list of rows is a file and a micro-batch of its own."""
+    for place, rows in enumerate(files):
+        part = folder / "parts" / str(place)
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(part))
+        source = next(part.glob("*.parquet"))
+        os.utime(source, (1_600_000_000 + place,) * 2)
+        (folder / "in").mkdir(exist_ok=True, parents=True)
+        os.rename(source, folder / "in" / f"events{place}.parquet")
+    stream = history.read_events(spark, str(folder / "in"), files_per_trigger=1)
+    history.append_history(stream, str(folder / "table"), str(folder / "checkpoint")).awaitTermination()
+    return stream
+
+
+def test_history_reads_only_days_its_keys_reach(spark, tmp_path):
+    day = lambda n: datetime(2024, 1, 1) + timedelta(days=n)
+    files = [[(10 * n + i, day(n), 0) for i in range(10)] for n in range(4)]
+    files.append([(5, day(9), 1), (5, day(2), 2), (None, None, 3), (None, day(1), 4)])   # late copies on other days, keyless rows
+    files.append([(None, day(3), 5), (36, day(0), 6), (40, None, 7)])
+    stream = _appended(spark, tmp_path, files)
+    table = str(tmp_path / "table")
+    got = history.read_history(spark, table, stream.schema)
+    assert got.columns == ["event_id", "ts", "v"]
+    ids = [r.event_id for r in got.collect()]
+    assert sorted(i for i in ids if i is not None) == list(range(41)) and ids.count(None) == 1
+    known = history.known_keys(spark, table, stream.schema["event_id"], 12, 17, False)
+    assert sorted(r[0] for r in known.collect()) == list(range(12, 18))
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "GreaterThanOrEqual(event_id,12)" in plan
+    # spans of the days: the first batch of each, and the late ones that reach over several
+    hit = {r[0] for r in spark.read.parquet(f"{table}/_spans").filter("low <= 17 and high >= 12").select(history.DAY).distinct().collect()}
+    assert hit == {"2024-01-02"}
+
+
+def test_history_batch_repeated_and_empty(spark, tmp_path):
+    rows = [(i, datetime(2024, 1, 1 + i % 3), i) for i in range(20)]
+    stream = _appended(spark, tmp_path / "a", [rows])
+    # the same files through a new checkpoint, as after a failure between rows and commit
+    history.append_history(stream, str(tmp_path / "a" / "table"), str(tmp_path / "again")).awaitTermination()
+    assert history.read_history(spark, str(tmp_path / "a" / "table"), stream.schema).count() == 20
+    stream = _appended(spark, tmp_path / "b", [[]])
+    assert history.read_history(spark, str(tmp_path / "b" / "table"), stream.schema).count() == 0
+
+
 def test_unknown_strategy():
     with pytest.raises(ValueError):
         prompts.get_strategy("nope")
