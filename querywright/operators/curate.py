@@ -217,9 +217,15 @@ def draw(i: Column, seed: int, n, salt: str) -> Column:
     return F.pmod(F.conv(F.substring(h, 1, 12), 16, 10).cast("long"), n)
 
 
-def augment(df: DataFrame, key: str = "pair_id", factor: float = 1.5, seed: int = 0) -> DataFrame:
+def augment(df: DataFrame, key: str = "pair_id", factor: float = 1.5, seed: int = 0, folder: str | None = None) -> DataFrame:
     """Grow to ``int(n * factor)`` rows: the originals plus variants of rows drawn with replacement,
-    each by a drawn technique. ``origin`` tells them apart."""
+    each by a drawn technique. ``origin`` tells them apart.
+
+    The rows are needed four times (their number, bucket sizes, ranks, originals): with ``folder`` they are computed once,
+    written there and read by each with the columns it needs."""
+    if folder:
+        df.write.mode("overwrite").parquet(folder)
+        df = df.sparkSession.read.parquet(folder)
     n = df.count()
     extra = max(0, int(n * factor) - n)
     original = df.withColumn("origin", F.lit("original"))

@@ -9,6 +9,7 @@ from querywright.plans.fixtures import (columns_catalog, edges_catalog, qa_pairs
 from querywright.plans.profiles import rounded
 from querywright.scale import union_all
 from querywright.sources.tables import FOREIGN_KEYS, NAMES, PRIMARY_KEYS, load_report
+from querywright.streaming.history import work_folder
 
 
 def cat01(t):
@@ -128,7 +129,7 @@ def cur12(t):
 
 def cur13(t):
     valid = curate.validate_pairs(raw_pairs(t))[0].select("pair_id", "question", "sql")
-    out = curate.augment(valid, factor=1.5)
+    out = curate.augment(valid, factor=1.5, folder=work_folder(t.spark, "pairs"))
     return out.select("pair_id", "origin", F.md5(F.concat_ws("|", "question", "sql")).alias("content_md5"))
 
 
