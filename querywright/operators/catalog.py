@@ -4,13 +4,17 @@ A catalog is three flat tables: columns (table_name, column_name, position, data
 is_primary_key), edges (table_name, column_name, ref_table, ref_column) and the cards built from
 them."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from querywright.functions.sqltext import words
-from querywright.scale import broadcast_if, few_rows, top_k
+from querywright.scale import broadcast_if, checked_broadcast, few_rows, spread, top_k
+from querywright.streaming.history import stored
 
 GRAM = 3
+RUN = r"\p{L}+|\p{Nd}+"   # runs of letters, runs of digits
+RUN_PIECE = 12            # longest word looked up among the substrings of runs
+HOT_WORDS = 10_000        # words broadcast to the queries
 
 
 def schema_info(spark: SparkSession, tables: dict, primary_keys=None) -> DataFrame:
@@ -134,14 +138,15 @@ def contains_join(needles: DataFrame, needle: str, hay: DataFrame, texts, key: s
     grams = asked.select(needle, "_needle", F.explode(by_size(F.col("_needle"), F.col("_size"))).alias("_gram"))
     wanted = grams.select("_gram").distinct()
     small = few_rows(wanted)
-    index = hay.select(key, whole.alias("_text")).select(key, "_text", F.explode(
+    index = spread(hay.select(key, whole.alias("_text"))).select(key, "_text", F.explode(
         F.array_distinct(F.concat(*[_grams(F.col("_text"), g) for g in sizes]))).alias("_gram"))
     index = index.join(broadcast_if(wanted, small), "_gram", "left_semi")
     counts = index.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
     rarest = (grams.join(counts, "_gram", "left").groupBy(needle, "_needle")
               .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("gram"))).alias("_r"))
               .filter("_r.n > 0").select(needle, "_needle", F.col("_r.gram").alias("_gram")))
-    hits = index.join(broadcast_if(rarest, few_rows(needles)), "_gram").filter(F.col("_text").contains(F.col("_needle")))
+    rarest = F.broadcast(rarest) if few_rows(needles) else checked_broadcast(rarest)  # most of many needles have no row
+    hits = index.join(rarest, "_gram").filter(F.col("_text").contains(F.col("_needle")))
     return hay.join(hits.select(key, needle), key).select(*hay.columns, needle)
 
 
@@ -151,15 +156,64 @@ def search_cards(cards: DataFrame, queries: DataFrame, query: str = "query", car
     return contains_join(queries.select(query).distinct(), query, pool, ["content", "name"])
 
 
+def _plain(word: Column) -> Column:
+    """Whether a word is one run of letters or of digits, short enough to be looked up among the substrings of such runs."""
+    return word.rlike(rf"\A({RUN})\z") & (F.length(word) <= RUN_PIECE)
+
+
+def _first_with_run(words: DataFrame, cards: DataFrame, k: int) -> DataFrame:
+    """(word, late, id, name, slots): the first k cards whose content holds each plain word.
+
+    A word of letters alone, or digits alone, lies inside one run of them. Every run keeps its first k cards, and every asked
+    substring of a run the first k of its runs, so neither step grows with words times cards. ``slots`` counts equal cards:
+    every copy of a card takes a place, once for each of the rows of its id."""
+    sizes = [r[0] for r in words.select(F.length("word")).distinct().collect()]  # RUN_PIECE values at most
+    copies = Window.partitionBy("id")
+    kept = (cards.filter(F.col("id").isNotNull()).select("id", "name", "content", (F.col("type") != "table").alias("late"))
+            .repartition("id").groupBy("id", "name", "content", "late").agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("slots", F.col("n") * F.sum("n").over(copies)).withColumn("_h", F.xxhash64("content")))
+    card = ["late", "id", "name", "_h", "slots"]
+
+    def first(rows, name):
+        w = Window.partitionBy(name).orderBy(*card)
+        return rows.withColumn("_r", F.dense_rank().over(w)).filter(F.col("_r") <= k).select(name, *card)
+
+    runs = F.array_distinct(F.regexp_extract_all(F.lower("content"), F.lit(RUN), F.lit(0)))
+    per_run = first(kept.select(F.explode(runs).alias("run"), *card), "run")
+    pieces = F.array_distinct(F.concat(*[F.when(F.length("run") >= n, _grams(F.col("run"), n)).otherwise(F.array().cast("array<string>"))
+                                         for n in sizes] or [F.array().cast("array<string>")]))
+    per_word = first(per_run.select(F.explode(pieces).alias("word"), *card), "word")
+    return (per_word.join(words.select("word"), "word", "left_semi").distinct()
+            .groupBy("word", "late", "id", "name").agg(F.sum("slots").alias("slots")))
+
+
 def match_any_word(queries: DataFrame, cards: DataFrame, key: str, text: str, k: int = 3) -> DataFrame:
     """The first k cards (tables first, then by id) holding any word of each query.
 
     Matching runs once per distinct word and keeps k cards per word, which is enough: the first k of
-    a query are among the first k of its words."""
-    asked = queries.select(key, F.explode(F.array_distinct(words(F.lower(text)))).alias("word"))
-    vocabulary = asked.select("word").distinct()
-    place = F.struct((F.col("type") != "table").alias("late"), F.col("id"))
-    pool = cards.select("id", "name", "content", place.alias("place"))
-    per_word = top_k(contains_join(vocabulary, "word", pool, ["content"]), ["word"], ["place"], k, keep_rank=False)
-    per_query = asked.join(per_word.select("word", "name", "place"), "word").groupBy(key, "name", "place").agg(F.lit(1))
-    return top_k(per_query.select(key, "name", "place"), [key], ["place"], k).select(key, "name", "rank")
+    a query are among the first k of its words. The cards found are numbered in their order, so a query gathers k numbers a
+    word; the HOT_WORDS asked most travel to the queries, the others are joined."""
+    asked = stored(queries.select(key, F.explode(F.array_distinct(words(F.lower(text)))).alias("word")), "asked")
+    vocabulary = stored(asked.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "vocabulary")
+    plain = vocabulary.filter(_plain(F.col("word")))
+    other = vocabulary.filter(~_plain(F.col("word"))).select("word")
+    late = (F.col("type") != "table").alias("late")
+    rest = contains_join(other, "word", cards.select("id", "name", "content", late), ["content"])
+    rest = rest.groupBy("word", "late", "id", "name").agg(F.count(F.lit(1)).alias("slots"))
+    place = ["late", "id", "name"]
+    w = Window.partitionBy("word").orderBy(*place)
+    taken = F.coalesce(F.sum("slots").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    best = top_k(_first_with_run(plain, cards, k).unionByName(rest), ["word"], place, k)
+    found = stored(best.withColumn("_taken", taken).filter(F.col("_taken") < k).select("word", *place), "found")
+    # numbers follow the order of the partitions, which are ranges
+    numbered = stored(found.select(*place).distinct().orderBy(*place).withColumn("_no", F.monotonically_increasing_id()), "cards")
+    same = [found[c].eqNullSafe(numbered[c]) for c in place]
+    lists = found.join(numbered, same).groupBy("word").agg(F.collect_list("_no").alias("_nos"))
+    lists = stored(lists.join(vocabulary, "word"), "lists")
+    hot = F.broadcast(lists.orderBy(F.desc("n"), "word").limit(HOT_WORDS).select("word", "_nos"))
+    near = asked.join(hot, "word").select(key, "_nos")
+    far = asked.join(hot, "word", "left_anti").join(lists, "word").select(key, "_nos")
+    firsts = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_nos")))), 1, k)
+    per_query = near.unionByName(far).groupBy(key).agg(firsts.alias("_nos"))
+    rows = per_query.select(key, F.posexplode("_nos").alias("_at", "_no"))
+    return rows.join(numbered.select("_no", "name"), "_no").select(key, "name", (F.col("_at") + 1).alias("rank"))

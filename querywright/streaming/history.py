@@ -24,6 +24,13 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return tempfile.mkdtemp(prefix=f"{name}-")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to a fresh work folder and read again: computed once, with known sizes for all later uses."""
+    folder = work_folder(df.sparkSession, name) + "/rows"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def read_events(spark: SparkSession, folder: str, pattern: str = "events*", files_per_trigger: int | None = None) -> DataFrame:
     """Event files of a folder as a stream, with a proper event-time column."""
     schema = spark.read.option("pathGlobFilter", pattern).parquet(folder).schema

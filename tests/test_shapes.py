@@ -84,3 +84,32 @@ def test_contains_join_by_rarest_gram(spark):
     got = {(r.q, r.id) for r in catalog.contains_join(asked, "q", hay, ["text"]).select("q", "id").collect()}
     assert got == {(n, i) for n in needles for i, t in enumerate(texts) if t is not None and n.lower() in t.lower()}
     assert catalog.contains_join(asked.filter("false"), "q", hay, ["text"]).count() == 0
+
+
+def test_any_word_matches_without_words_times_cards(spark):
+    """Numbers ask for a plan that meets no card per word and candidate: first cards are kept by run, not by rare gram."""
+    rng = random.Random(7)
+    cards = [(f"c{i:04}", "column", f"n{i}", f"Column: t{i // 7}_big.Name_{i * 37} (É{i % 5})") for i in range(300)]
+    cards += [(f"t{i}", "table", f"T{i}", f"Table: t{i}_big") for i in range(40)] + [("c0001", "column", "n1", cards[1][3])]
+    asked = [(q, " ".join(rng.choice(["37", "1", "name_7", "big.", "É3", "zz", "T1", "99", "umn", "incomprehensibilities", "(é4)", str(rng.randrange(900))])
+                          for _ in range(3))) for q in range(60)]
+    got = catalog.match_any_word(spark.createDataFrame(asked, "qid long, question string"),
+                                 spark.createDataFrame(cards, "id string, type string, name string, content string"), "qid", "question")
+    joined = []
+    real = catalog.contains_join
+    try:
+        catalog.contains_join = lambda needles, *a, **b: joined.extend(r.word for r in needles.collect()) or real(needles, *a, **b)
+        catalog.match_any_word(spark.createDataFrame(asked, "qid long, question string"),
+                               spark.createDataFrame(cards, "id string, type string, name string, content string"), "qid", "question").collect()
+    finally:
+        catalog.contains_join = real
+    assert joined and not [w for w in joined if w.isdigit()]
+    want = set()
+    for q, text in asked:
+        hits = set()
+        for w in set(text.lower().split()):
+            rows = sorted((c[1] != "table", c[0], c[2]) for c in cards if w in c[3].lower())
+            rows = [r for r in rows for _ in range(sum(c[0] == r[1] for c in cards))]
+            hits |= set(rows[:3])
+        want |= {(q, name, rank) for rank, (_, _, name) in enumerate(sorted(hits)[:3], 1)}
+    assert {tuple(r) for r in got.collect()} == want
