@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from querywright.functions.sqltext import strip
 from querywright.operators.guard import check_statement
 from querywright.scale import union_all
+from querywright.streaming.history import stored
 
 # A compared integer or a plain quoted text; what follows must not go on with a number or name
 LITERAL = r"(=|<>|!=|<=|>=|<|>)(\s*)('[^'\\]*'|-?[0-9]{1,18})(?![\w.(])"
@@ -24,14 +25,16 @@ BATCH_SHAPES = 40         # shapes in one plan; each batch is written before the
 def with_shape(df: DataFrame, sql: str) -> DataFrame:
     """Add ``shape`` (the statement with slots for its compared literals) and ``args``. A statement whose quotes or comments
     leave doubt about what is a literal keeps its own text as shape."""
-    body = F.regexp_replace(strip(F.col(sql)), r"[;\s]+$", "")
-    marked = F.regexp_replace(F.regexp_replace(body, LITERAL.replace("|-?[0-9]{1,18}", ""), f"$1$2{TEXT_SLOT}"),
-                              LITERAL.replace(r"'[^'\\]*'|", ""), f"$1$2{NUMBER_SLOT}")
-    doubt = F.regexp_like(marked, F.lit(r"""['"`\\]|--|/\*""")) | body.contains(":?")
-    shape = F.regexp_replace(F.when(doubt, body).otherwise(marked), r"\s+", " ")
-    args = F.when(doubt, F.array().cast("array<string>")).otherwise(F.regexp_extract_all(body, F.lit(LITERAL), F.lit(3)))
-    plain = F.transform(args, lambda a: F.regexp_replace(a, "^'|'$", ""))
-    return df.withColumn("shape", F.when(doubt, body).otherwise(shape)).withColumn("args", plain)
+    # a column per step: each is computed once, however often the next ones read it
+    rows = df.withColumn("_body", F.regexp_replace(strip(F.col(sql)), r"[;\s]+$", ""))
+    rows = rows.withColumn("_marked", F.regexp_replace(
+        F.regexp_replace("_body", LITERAL.replace("|-?[0-9]{1,18}", ""), f"$1$2{TEXT_SLOT}"),
+        LITERAL.replace(r"'[^'\\]*'|", ""), f"$1$2{NUMBER_SLOT}"))
+    rows = rows.withColumn("_doubt", F.regexp_like("_marked", F.lit(r"""['"`\\]|--|/\*""")) | F.col("_body").contains(":?"))
+    args = F.when(F.col("_doubt"), F.array().cast("array<string>")).otherwise(F.regexp_extract_all("_body", F.lit(LITERAL), F.lit(3)))
+    return rows.select(
+        *df.columns, F.when(F.col("_doubt"), F.col("_body")).otherwise(F.regexp_replace("_marked", r"\s+", " ")).alias("shape"),
+        F.transform(args, lambda a: F.regexp_replace(a, "^'|'$", "")).alias("args"))
 
 
 def _bound(shape: str, params: str) -> str:
@@ -83,7 +86,8 @@ def execution_match(spark: SparkSession, pairs: DataFrame, pred: str = "pred_sql
     matched by name. Unsafe, failing and missing statements do not match."""
     sid = lambda c: F.sha2(F.coalesce(F.col(c), F.lit("")), 256)
     texts = pairs.select(F.col(pred).alias("sql")).unionByName(pairs.select(F.col(truth).alias("sql"))).filter("sql IS NOT NULL").distinct()
-    known = with_shape(texts.withColumn("_sid", sid("sql")), "sql")
+    # read once per shape: written sorted by shape, so that each reads its own rows
+    known = stored(with_shape(texts.withColumn("_sid", sid("sql")), "sql").sortWithinPartitions("shape"), "statements")
     samples = known.groupBy("shape").agg(F.min("sql").alias("sample")).orderBy("shape").limit(max_shapes + 1).collect()
     if len(samples) > max_shapes:
         raise ValueError(f"more than {max_shapes} distinct statement shapes; raise max_shapes or split the input")
