@@ -19,6 +19,7 @@ QUESTION_TYPES = (
     ("temporal_comparison", ("monthly", "yearly", "trend", "over time", "period", "growth")),
     ("conditional_logic", ("if", "when", "where", "classify", "categorize", "based on")),
 )
+DEFAULT_TYPE = "multi_table_analysis"
 QUESTION_CATEGORIES = (
     (("customer_analysis", "delivery_analysis"), ("customer", "city", "state", "user")),
     (("product_analysis", "payment_analysis"), ("product", "category", "item", "revenue", "sales")),
@@ -114,7 +115,7 @@ def question_type(c, word: bool = False) -> Column:
     out = F
     for name, hints in QUESTION_TYPES:
         out = out.when(contains_any(q, hints, word), name)
-    return out.otherwise("multi_table_analysis")
+    return out.otherwise(DEFAULT_TYPE)
 
 
 def question_categories(c) -> Column:

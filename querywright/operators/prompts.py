@@ -4,13 +4,16 @@ A question row carries its five strategies in an array, so nothing is crossed wi
 most of the work needs no shuffle."""
 
 import re
+from functools import reduce
+from itertools import product
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from querywright.functions import templates as tpl
-from querywright.functions.sqltext import (DEFAULT_CATEGORIES, QUESTION_CATEGORIES, col, contains_any, count_contained,
-                                           normalise, occurrences, question_categories, question_type, text)
+from querywright.functions.sqltext import (DEFAULT_CATEGORIES, DEFAULT_TYPE, QUESTION_CATEGORIES, QUESTION_TYPES, col, contains_any,
+                                           count_contained, normalise, occurrences, question_categories, text)
 from querywright.scale import spread, top_k
 
 # Word lists and weights of routing and scoring.
@@ -45,18 +48,33 @@ def _example_text(picked) -> str:
     return out
 
 
-def built_in_examples(question) -> Column:
-    """Text of up to three built-in examples for the question's categories."""
+def example_choices(question) -> list:
+    """(condition, text) of up to three built-in examples per pair of categories; the last has no condition."""
     def pick(pair):
         order = sorted(range(len(tpl.EXAMPLES)), key=lambda i: (
             pair.index(tpl.EXAMPLES[i][0]) if tpl.EXAMPLES[i][0] in pair else len(pair), i))
         return _example_text([tpl.EXAMPLES[i] for i in order[:3]])
 
     q = F.lower(text(question))
+    return [(contains_any(q, hints), pick(pair)) for pair, hints in QUESTION_CATEGORIES] + [(None, pick(DEFAULT_CATEGORIES))]
+
+
+def type_choices(question) -> list:
+    """(condition, name) of the question types, as ``question_type`` tells them."""
+    q = F.lower(text(question))
+    return [(contains_any(q, hints), name) for name, hints in QUESTION_TYPES] + [(None, DEFAULT_TYPE)]
+
+
+CHOICES = {"examples": example_choices, "complexity_type": type_choices}
+
+
+def chosen(choices, values=None) -> Column:
+    """The text of the first choice that holds (or its entry in ``values``)."""
     out = F
-    for pair, hints in QUESTION_CATEGORIES:
-        out = out.when(contains_any(q, hints), F.lit(pick(pair)))
-    return out.otherwise(F.lit(pick(DEFAULT_CATEGORIES)))
+    for (test, value), place in zip(choices, range(len(choices))):
+        value = F.lit(value if values is None else values[place])
+        out = out.when(test, value) if test is not None else (out.otherwise(value) if len(choices) > 1 else value)
+    return out
 
 
 class Strategy:
@@ -68,7 +86,95 @@ class Strategy:
 
     def render(self, question: Column, schema: dict) -> Column:
         return fill(self.template, {"question": question, "schema": F.lit(schema[self.style]),
-                                    "examples": built_in_examples(question), "complexity_type": question_type(question)})
+                                    **{n: chosen(made(question)) for n, made in CHOICES.items()}})
+
+    def variants(self, question: Column, schema: dict) -> list:
+        """[({choice: place}, literal texts around the questions)]: the prompt for every outcome of its choices."""
+        names = [n for n in CHOICES if "{" + n + "}" in self.template]
+        pieces = re.split("(" + "|".join(re.escape("{" + n + "}") for n in ("question", "schema", *CHOICES)) + ")", self.template)
+        out = []
+        for places in product(*[range(len(CHOICES[n](question))) for n in names]):
+            known = {"{schema}": schema[self.style],
+                     **{"{" + n + "}": CHOICES[n](question)[k][1] for n, k in zip(names, places)}}
+            texts = [""]
+            for piece in pieces:
+                if piece == "{question}":
+                    texts.append("")
+                else:
+                    texts[-1] += known.get(piece, piece)
+            out.append((dict(zip(names, places)), texts))
+        return out
+
+
+class Seams:
+    """A prompt that is searched without being built. Its constant texts are searched while the plan is made; per row only
+    the question is, with as much of the constant text around it as a word can reach over a joint. Tests of the question
+    are shared by all strategies: ``tests`` maps their columns to expressions, to be added to the rows first."""
+
+    def __init__(self, variants, tests: dict, question: Column, lowered: bool):
+        self.variants, self.tests, self.question, self.lowered = variants, tests, question, lowered
+        if lowered:
+            self.variants = [(places, [t.lower() for t in texts]) for places, texts in variants]
+
+    def _per_variant(self, values):
+        """A value by variant; equal values are one. Null for a null question, as the prompt is."""
+        if len(set(values)) == 1:
+            out = F.lit(values[0])
+        else:
+            out = F
+            for (places, _), value in zip(self.variants, values):
+                test = reduce(and_, [F.col(f"_{n}") == k for n, k in places.items()])
+                out = out.when(test, F.lit(value))
+        return F.when(self.question.isNotNull(), out)
+
+    def _asked(self, word, before="", after="") -> Column:
+        key = (word, before, after, self.lowered)
+        if key not in self.tests:
+            q = F.lower(self.question) if self.lowered else self.question
+            self.tests[key] = (f"_t{len(self.tests)}", (F.concat(F.lit(before), q, F.lit(after)) if before or after else q).contains(word))
+        return F.col(self.tests[key][0])
+
+    def contains(self, word: str) -> Column:
+        known = [any(word in t for t in texts) for _, texts in self.variants]
+        if all(known):
+            return self._per_variant(known)
+        reach = len(word) - 1
+        joints = set()
+        for (_, texts), found in zip(self.variants, known):
+            if not found:
+                for left, right in zip(texts, texts[1:]):
+                    left, right = left[-reach:] if reach else "", right[:reach]
+                    touched = any(word.startswith(left[k:]) for k in range(len(left))) or any(word.endswith(right[:k]) for k in range(1, len(right) + 1))
+                    joints.add((left, right) if touched else ("", ""))
+        # a joint of one variant must not count for another: such words are rare, and searched in each by itself
+        if joints - {("", "")} and len(self.variants) > 1:
+            out = F
+            for place, texts in self.variants:
+                one = Seams([({}, texts)], self.tests, self.question, False)
+                one.lowered = self.lowered
+                out = out.when(reduce(and_, [F.col(f"_{n}") == k for n, k in place.items()]), one.contains(word))
+            return out
+        asked = reduce(or_, [self._asked(word, *j) for j in sorted(joints)])
+        return self._per_variant(known) | asked if any(known) else asked
+
+    def length(self) -> Column:
+        return self._per_variant([sum(map(len, t)) for _, t in self.variants]) + F.length(self.question) * (len(self.variants[0][1]) - 1)
+
+    def has_paragraphs(self, n: int) -> bool:
+        """Whether the constant texts alone hold n blank lines; joints can only add some."""
+        return all(sum(t.count("\n\n") for t in texts) >= n for _, texts in self.variants)
+
+
+LONGEST_WORD = 32  # constant texts between two questions are longer, so no word spans both joints
+
+
+def seamed(strategy, question: Column, schema: dict):
+    """The variants of a strategy that can be searched by its seams, or None."""
+    if not hasattr(strategy, "variants"):
+        return None
+    variants = strategy.variants(question, schema)
+    able = all(len(t) > 1 and all(len(x) > LONGEST_WORD for x in t[1:-1]) and len(t) == len(variants[0][1]) for _, t in variants)
+    return variants if able else None
 
 
 _STYLES = {"zero_shot": "typed", "chain_of_thought": "typed", "few_shot": "keys", "self_consistency": "graph",
@@ -178,10 +284,14 @@ def complexity_handling(low, length, level) -> Column:
 
 def prompt_structure(prompt) -> Column:
     p = col(prompt)
-    return _points((occurrences(p, "\n\n") >= 2, 0.3), (p.contains("{") & p.contains("}"), 0.2),
+    return _points((paragraphs(p), 0.3), (p.contains("{") & p.contains("}"), 0.2),
                    (p.contains("Question:"), 0.2), (p.contains("Schema"), 0.3))
 
 
+def paragraphs(p) -> Column:
+    return p.question.isNotNull() if isinstance(p, Seams) else occurrences(p, "\n\n") >= 2
+
+
 def overall(quality: Column, business: Column, handling: Column) -> Column:
     w = OVERALL_WEIGHTS
     return (quality * w["prompt_quality"] + business * w["business_relevance"] + handling * w["complexity_handling"]
@@ -191,27 +301,32 @@ def overall(quality: Column, business: Column, handling: Column) -> Column:
 def scored_strategies(questions: DataFrame, schema: dict, question: str = "question", strategies=tpl.STRATEGIES) -> DataFrame:
     """Add ``scores``: an array of (ordinal, strategy, overall_score, parts, prompt_length).
 
-    The array of prompts is mapped in place, so each prompt is built and lower-cased once."""
-    rows = with_prompts(questions, schema, strategies, question).withColumn("_level", hard_words(question))
-
-    def lowered(s):
-        return F.named_struct(F.lit("ordinal"), s["ordinal"], F.lit("strategy"), s["strategy"], F.lit("prompt"), s["prompt"],
-                              F.lit("low"), F.lower(s["prompt"]), F.lit("length"), F.length(s["prompt"]))
-
-    def parts(s):
-        return F.named_struct(
-            F.lit("ordinal"), s["ordinal"], F.lit("strategy"), s["strategy"], F.lit("a"), prompt_quality(s["low"]),
-            F.lit("b"), business_relevance(s["low"]), F.lit("c"), complexity_handling(s["low"], s["length"], F.col("_level")),
-            F.lit("d"), prompt_structure(s["prompt"]), F.lit("n"), s["length"].cast("long"))
-
-    def total(s):
-        return F.named_struct(
-            F.lit("ordinal"), s["ordinal"], F.lit("strategy"), s["strategy"], F.lit("overall_score"), overall(s["a"], s["b"], s["c"]),
-            F.lit("prompt_quality"), s["a"], F.lit("business_relevance"), s["b"], F.lit("complexity_handling"), s["c"],
-            F.lit("prompt_structure"), s["d"], F.lit("prompt_length"), s["n"])
-
-    scores = F.transform(F.transform(F.transform("strategies", lowered), parts), total)
-    return rows.select(*questions.columns, scores.alias("scores"))
+    A prompt is its constant text around the question: the constant text is searched while the plan is made, the question
+    once per word. A strategy without such seams has its prompt rendered, in a column of its own."""
+    rows = spread(questions).withColumns({"_level": hard_words(question), **{
+        f"_{n}": chosen(made(question), range(len(made(question)))) for n, made in CHOICES.items()}})
+    tests, rendered, parts = {}, {}, {}
+    for i, name in enumerate(strategies):
+        strategy = get_strategy(name)
+        variants = seamed(strategy, F.col(question), schema)
+        if variants:
+            prompt = Seams(variants, tests, F.col(question), False)
+            low, length = Seams(variants, tests, F.col(question), True), prompt.length()
+            if not prompt.has_paragraphs(2):
+                variants = None
+        if not variants:
+            rendered[f"_p{i}"] = strategy.render(F.col(question), schema)
+            prompt, low, length = F.col(f"_p{i}"), F.col(f"_l{i}"), F.length(f"_p{i}")
+        parts |= {f"_a{i}": prompt_quality(low), f"_b{i}": business_relevance(low),
+                  f"_c{i}": complexity_handling(low, length, F.col("_level")), f"_d{i}": prompt_structure(prompt),
+                  f"_n{i}": length.cast("long")}
+    rows = rows.withColumns({**{n: test for n, test in tests.values()}, **rendered})
+    rows = rows.withColumns({f"_l{n[2:]}": F.lower(n) for n in rendered}).withColumns(parts)
+    scores = [F.struct(
+        F.lit(i).alias("ordinal"), F.lit(name).alias("strategy"), overall(F.col(f"_a{i}"), F.col(f"_b{i}"), F.col(f"_c{i}")).alias("overall_score"),
+        F.col(f"_a{i}").alias("prompt_quality"), F.col(f"_b{i}").alias("business_relevance"), F.col(f"_c{i}").alias("complexity_handling"),
+        F.col(f"_d{i}").alias("prompt_structure"), F.col(f"_n{i}").alias("prompt_length")) for i, name in enumerate(strategies)]
+    return rows.select(*questions.columns, F.array(*scores).alias("scores"))
 
 
 def score_rows(questions: DataFrame, schema: dict, question: str = "question") -> DataFrame:
