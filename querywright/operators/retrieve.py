@@ -18,6 +18,7 @@ K1, B, EPSILON = 1.5, 0.75, 0.25
 SCORE_DIGITS = 9  # scores equal to this many digits rank by id
 QUERY_BLOCK = 4096  # queries scored against one block of vectors
 TILE_BYTES = 64 << 20
+PART_CHARS = 16 << 20  # text whose terms one task counts
 SCORE_ROWS = 512  # vectors scored at once
 
 # Intent words of a query and the words that show the context covers them.
@@ -35,34 +36,44 @@ def term_list(c, tokenizer: str = "whitespace") -> Column:
     return tokens(c) if tokenizer == "word" else words(c)
 
 
-def _tokenised(docs: DataFrame, tokenizer: str) -> DataFrame:
+def _parts(docs: DataFrame, chars: int | None) -> int:
+    """Partitions of at most PART_CHARS of text on average, whatever the corpus."""
+    return max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil((chars or 0) / PART_CHARS))
+
+
+def _chars(docs: DataFrame) -> int | None:
+    return docs.agg(F.sum(F.length("content").cast("long"))).first()[0]
+
+
+def _tokenised(docs: DataFrame, tokenizer: str, parts: int | None = None) -> DataFrame:
     """Token lists partitioned by document. The text is shuffled before it is split (it is smaller
     than its tokens), once for all uses in a plan; counts per document then stay in place."""
-    rows = docs.select("id", "content").repartition("id")
+    rows = docs.select("id", "content").repartition(*([parts] if parts else []), "id")
     return rows.select("id", term_list("content", tokenizer).alias("_tok")).withColumn("dl", F.size("_tok").cast("long"))
 
 
 def postings(docs: DataFrame, vocabulary: DataFrame | None = None, small: bool = False,
-             tokenizer: str = "whitespace") -> DataFrame:
+             tokenizer: str = "whitespace", parts: int | None = None) -> DataFrame:
     """(id, dl, term, f), partitioned by document. With a vocabulary only its terms are kept; a
-    ``small`` one is broadcast and nothing further is shuffled."""
-    rows = _tokenised(docs, tokenizer).select("id", "dl", F.explode_outer("_tok").alias("term"))
+    ``small`` one is broadcast and nothing further is shuffled. The partitions follow from the size of the text, so a task
+    counts the terms of a bounded part."""
+    rows = _tokenised(docs, tokenizer, parts or _parts(docs, _chars(docs))).select("id", "dl", F.explode_outer("_tok").alias("term"))
     if vocabulary is not None:
         rows = rows.join(broadcast_if(vocabulary, small), "term", "left_semi")
     return rows.filter(F.col("term").isNotNull()).groupBy("id", "dl", "term").agg(F.count(F.lit(1)).alias("f"))
 
 
-def term_stats(docs: DataFrame, tokenizer: str = "whitespace") -> DataFrame:
+def term_stats(docs: DataFrame, tokenizer: str = "whitespace", parts: int | None = None) -> DataFrame:
     """(term, df) over the whole corpus; each document counts a term once before the shuffle."""
     # the outer form keeps Catalyst from testing the token list a second time in the scan, which
     # would also stop the uses of the shuffled text from sharing it
-    return (_tokenised(docs, tokenizer).select(F.explode_outer(F.array_distinct("_tok")).alias("term"))
+    return (_tokenised(docs, tokenizer, parts).select(F.explode_outer(F.array_distinct("_tok")).alias("term"))
             .filter(F.col("term").isNotNull()).groupBy("term").agg(F.count(F.lit(1)).alias("df")))
 
 
-def corpus_stats(docs: DataFrame, tokenizer: str = "whitespace") -> DataFrame:
+def corpus_stats(docs: DataFrame, tokenizer: str = "whitespace", parts: int | None = None) -> DataFrame:
     """One row: number of documents and mean length."""
-    return _tokenised(docs, tokenizer).agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"))
+    return _tokenised(docs, tokenizer, parts).agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"))
 
 
 def raw_idf(n: Column, df: Column) -> Column:
@@ -71,8 +82,9 @@ def raw_idf(n: Column, df: Column) -> Column:
 
 def bm25_topk(docs: DataFrame, queries: DataFrame, k: int, tokenizer: str = "whitespace") -> DataFrame:
     """(qid, id, score, rank): Okapi scores above zero, best k per query."""
-    stats = corpus_stats(docs, tokenizer).select(F.struct("n_docs", "avgdl")).scalar()
-    frequencies = term_stats(docs, tokenizer).withColumn("_s", stats)
+    parts = _parts(docs, _chars(docs))
+    stats = corpus_stats(docs, tokenizer, parts).select(F.struct("n_docs", "avgdl")).scalar()
+    frequencies = term_stats(docs, tokenizer, parts).withColumn("_s", stats)
     idf = frequencies.select("term", raw_idf(F.col("_s.n_docs"), F.col("df")).alias("idf"))
     floor = idf.agg(F.avg("idf") * EPSILON).scalar()
     asked = queries.select("qid", F.explode(term_list("text", tokenizer)).alias("term")).groupBy("qid", "term").agg(
@@ -82,7 +94,7 @@ def bm25_topk(docs: DataFrame, queries: DataFrame, k: int, tokenizer: str = "whi
     known = idf.join(broadcast_if(vocabulary, small), "term").withColumn("_floor", floor)
     weights = asked.join(known, "term").select(
         "qid", "term", (F.col("qtf") * F.when(F.col("idf") < 0, F.col("_floor")).otherwise(F.col("idf"))).alias("w"))
-    hits = postings(docs, vocabulary, small, tokenizer).withColumn("_s", stats)
+    hits = postings(docs, vocabulary, small, tokenizer, parts).withColumn("_s", stats)
     norm = F.col("f") + K1 * (1 - B + B * F.col("dl") / F.col("_s.avgdl"))
     hits = hits.select("id", "term", (F.col("f") * (K1 + 1) / norm).alias("gain"))
     scores = hits.join(broadcast_if(weights, small), "term").groupBy("qid", "id").agg(
