@@ -20,6 +20,7 @@ RANGE_BYTES = 32 << 20
 READ_ON = 1 << 16
 _ESCAPED = re.compile(rb"\\.", re.S)
 _OPEN, _CLOSE = np.isin(np.arange(256), list(b"[{")), np.isin(np.arange(256), list(b"]}"))
+_MARK = np.isin(np.arange(256), list(b'"[]{},'))
 
 
 SCHEMES = ("file", "hdfs", "s3", "gs", "abfs", "abfss")  # what a task can open at a byte
@@ -55,11 +56,17 @@ def _plain(file, start: int, end: int) -> bytes:
     return _ESCAPED.sub(b"__", data)
 
 
-def _levels(plain: bytes, inside: bool):
-    """(bytes, outside any text, depth behind each byte relative to the start)."""
+def _marks(plain: bytes):
+    """(places, values) of the quotes, brackets and commas; all that follows works on these few bytes."""
     b = np.frombuffer(plain, np.uint8)
-    outside = (np.cumsum(b == 34) + inside) % 2 == 0
-    return b, outside, np.cumsum((_OPEN[b] & outside).astype(np.int64) - (_CLOSE[b] & outside))
+    at = np.flatnonzero(_MARK[b])
+    return at, b[at]
+
+
+def _levels(marks: np.ndarray, inside: bool):
+    """(outside any text, depth relative to the start) behind each mark."""
+    outside = (np.cumsum(marks == 34) + inside) % 2 == 0
+    return outside, np.cumsum((_OPEN[marks] & outside).astype(np.int64) - (_CLOSE[marks] & outside))
 
 
 def _is_array(file) -> bool:
@@ -77,17 +84,21 @@ def _moves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for r in batch.itertuples():
             with _open(r.path) as file:
                 plain = _plain(file, r.start, r.end)
-            depth = [int(_levels(plain, inside)[2][-1]) for inside in (False, True)]
+            marks = _marks(plain)[1]
+            depth = [int(_levels(marks, inside)[1][-1]) if len(marks) else 0 for inside in (False, True)]
             yield pd.DataFrame({"path": [r.path], "start": [r.start], "end": [r.end], "odd": [plain.count(b'"') % 2],
                                 "outside": [depth[0]], "inside": [depth[1]]})
 
 
 def _borders(plain: bytes, inside: bool, depth: int):
     """Places of the brackets and commas of the first level; whether the range ends inside a text, and how deep."""
-    b, outside, level = _levels(plain, inside)
+    at, marks = _marks(plain)
+    if not len(at):
+        return at, inside, depth
+    outside, level = _levels(marks, inside)
     level = level + depth
-    hit = outside & (((b == 44) & (level == 1)) | ((b == 91) & (level == 1)) | ((b == 93) & (level == 0)))
-    return np.flatnonzero(hit), bool(not outside[-1]), int(level[-1])
+    hit = outside & (((marks == 44) & (level == 1)) | ((marks == 91) & (level == 1)) | ((marks == 93) & (level == 0)))
+    return at[hit], bool(not outside[-1]), int(level[-1])
 
 
 def _records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
