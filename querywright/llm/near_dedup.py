@@ -14,20 +14,24 @@
    components. Links are joined to components by minimum labels with pointer jumping.
 5. Dividing, windows and medoids only make links early; they decide nothing. In each region of first depth that they did not
    cover pair by pair, all pairs of leaves in different components are compared by sketch and by a fine sketch of BINS
-   bytes, in tiles of TILE x TILE leaves, and the plausible ones are checked on their full sets: first each leaf's best.
+   bytes, in tiles of TILE x TILE leaves. A tile names its leaves with a plausible partner; their full sets come to the tile,
+   which checks the pairs, best first, and gives the links that join what it has not joined yet: fewer rows than leaves.
 
 At the threshold of 0.75 a pair misses all 16 regions of two hashes with probability (1 - 0.75 ** 2) ** 16 < 2e-6; a sketch
 refuses it with the chance of four standard errors, 3e-5.
 
-Skew: equal sets are pre-aggregated; no task holds more than a divided region or a tile; the joins are equi-joins that
-adaptive execution can split. The tiles of a family of k documents that share much text and are no copies grow with k squared
-in time (not in memory): that is the price of missing none of its pairs. Nothing is collected to the driver but counts.
+Skew: equal sets are pre-aggregated; no task holds more than a divided region or a tile, whose blocks hold TILE leaves and ITEMS
+shingles or one document; the joins are equi-joins that adaptive execution can split. The tiles of a family of k documents that
+share much text and are no copies grow with k squared in time (not in memory or rows): that is the price of missing none of
+its pairs. Nothing is collected to the driver but counts.
 
 Edge cases: null, empty and blank texts have an empty set, link with nothing and are kept; a null id takes part in nothing
 and is kept; repeated rows of an id are one document with the largest of its sets; other columns pass through unchanged."""
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -48,6 +52,7 @@ PLAUSIBLE = 0.53          # estimated similarity of a candidate: the threshold l
 CERTAIN = 0.92            # neighbours of this estimate need no further partners in their window
 CHUNK = 1 << 13
 TILE = 2048               # leaves in a block of a wide region
+ITEMS = 1 << 21           # shingles in such a block
 BINS = 512                # bytes of a fine sketch
 BROADCAST_IDS = 500_000   # documents in question that are sent to the scan; more meet the texts in a join
 
@@ -261,61 +266,105 @@ def fine_sketches(docs: DataFrame, asked: DataFrame, id_col: str, text: str, wid
     return made.groupBy("id").agg(F.max("f").alias("f")).select("id", F.col("f.n").alias("size"), "f.fine")
 
 
-def tile_pairs(left, right, similar: int = SIMILAR) -> tuple[np.ndarray, ...]:
-    """Candidates (a, b, turn) between two blocks (labels, fine, ids, component, sizes), or inside one (``right`` is None): all pairs of
-    different components with plausible sketches. Turn 0 is each leaf's best."""
+class Block(NamedTuple):
+    """Leaves of one region, row by row."""
+
+    label: np.ndarray
+    fine: np.ndarray
+    component: np.ndarray
+    size: np.ndarray
+    heads: np.ndarray
+
+    def at(self, rows) -> Block:
+        return Block(*(v[rows] for v in self))
+
+
+LEAF = "id long, label binary, fine binary, component long, size long, heads array<long>"
+
+
+def block_of(table: pa.Table) -> tuple[Block, int]:
+    """The leaves of a table and the number of their order, which the name of their region tells."""
+    heads = np.array(table["heads"].to_pylist(), np.int64).reshape(-1, ORDERS)
+    names = mix(heads[0].view(np.uint64) + np.arange(ORDERS, dtype=np.uint64)).view(np.int64)
+    order = int(np.flatnonzero(names == table["region"][0].as_py())[0])
+    return Block(np.frombuffer(b"".join(table["label"].to_pylist()), np.uint8).reshape(-1, PLACES),
+                 np.frombuffer(b"".join(table["fine"].to_pylist()), np.uint8).reshape(-1, BINS),
+                 table["component"].to_numpy(), table["size"].to_numpy(), heads), order
+
+
+def tile_pairs(left: Block, right: Block | None, order: int = 0, similar: int = SIMILAR) -> tuple[np.ndarray, ...]:
+    """Rows x of one block and y of another (or of the same: ``right`` is None), and the estimated similarity, of all pairs of different
+    components with plausible sketches. A pair that shares a region of an earlier order meets there."""
     one = right is None
     right = left if one else right
     share, out = similar / 100, []
-    step = max(1, (1 << 25) // (PLACES * max(len(right[2]), 1)))
-    for start in range(0, len(left[2]), step):
-        stop = min(start + step, len(left[2]))
-        ask = _agreement(left[0][start:stop, None], right[0][None]) >= PLAUSIBLE
-        ask &= left[3][start:stop, None] != right[3][None]
+    step = max(1, (1 << 25) // (PLACES * max(len(right.size), 1)))
+    for start in range(0, len(left.size), step):
+        stop = min(start + step, len(left.size))
+        ask = _agreement(left.label[start:stop, None], right.label[None]) >= PLAUSIBLE
+        ask &= left.component[start:stop, None] != right.component[None]
         if one:
-            ask &= np.arange(len(right[2]))[None] > np.arange(start, stop)[:, None]
+            ask &= np.arange(len(right.size))[None] > np.arange(start, stop)[:, None]
         i, j = np.nonzero(ask)
         i += start
         for at in range(0, len(i), 1 << 15):
             x, y = i[at:at + (1 << 15)], j[at:at + (1 << 15)]
-            f, g = left[1][x], right[1][y]
+            first = ~(left.heads[x, :order] == right.heads[y, :order]).any(axis=1)
+            x, y = x[first], y[first]
+            f, g = left.fine[x], right.fine[y]
             used = np.maximum(((f > 0) | (g > 0)).sum(axis=1), 1)
             same = ((f == g) & (f > 0)).sum(axis=1) / used
             # the used parts are a draw without replacement from the union, which has at most so many shingles in a pair
             # that is similar enough: a sketch of most of the union hardly errs
-            n, m = left[4][x], right[4][y]
+            n, m = left.size[x], right.size[y]
             union = np.maximum((n + m) / (1 + share), 2)
             spread = share * (1 - share) / used * np.maximum(union - used, 0) / (union - 1)
             good = (same >= share - 4 * np.sqrt(spread) - 1e-9) & (np.minimum(n, m) >= share * np.maximum(n, m))
             out.append((x[good], y[good], same[good]))
     if not out:
-        none = np.zeros(0, np.int64)
-        return none, none, none
-    x, y, same = (np.concatenate(c) for c in zip(*out))
-    turn = np.ones(len(x), np.int64)
-    for ends in (x, y):
-        order = np.lexsort((-same, ends))
-        turn[order[np.append(True, ends[order][1:] != ends[order][:-1])] if len(order) else order] = 0
-    a, b = left[2][x], right[2][y]
-    return np.minimum(a, b), np.maximum(a, b), turn
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def joining_links(x: np.ndarray, y: np.ndarray, component: np.ndarray, items: np.ndarray, first: np.ndarray,
+                  similar: int = SIMILAR) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of components that similar pairs among (x[k], y[k]) join, checked on their full sets in the given order; a pair whose ends
+    are joined already is not checked. Set i is items[first[i]:first[i + 1]]."""
+    names, number = np.unique(component, return_inverse=True)
+    top, size, items, out = np.arange(len(names)), np.diff(first), numbered(items), []
+    at, step = 0, CHUNK
+    while at < len(x):
+        i, j = x[at:at + step], y[at:at + step]
+        at, step = at + step, min(2 * step, 1 << 20)
+        apart = top[number[i]] != top[number[j]]
+        i, j = i[apart], j[apart]
+        common = common_counts(i, j, items, first)
+        linked = np.flatnonzero(100 * common >= similar * (size[i] + size[j] - common))
+        for a, b in zip(number[i[linked]].tolist(), number[j[linked]].tolist()):
+            if top[a] != top[b]:
+                top[top == top[b]] = top[a]
+                out.append((names[a], names[b]))
+    a, b = np.array(out, np.int64).reshape(-1, 2).T
+    return np.minimum(a, b), np.maximum(a, b)
 
 
 def remainder(docs: DataFrame, rows: DataFrame, wide: DataFrame, named: DataFrame, id_col: str, text: str, width: int,
-              similar: int, tile: int = TILE) -> DataFrame | None:
-    """(a, b, turn): the candidates of wide regions that windows and medoids left out: all pairs of leaves of one region of first
-    depth that lie in different components so far (``named``: id, component). A region is dealt into blocks and every two blocks
-    meet in a task; blocks of one large component do not meet each other, and a region with one component is done."""
+              similar: int, tile: int | None = None, load: int | None = None) -> DataFrame | None:
+    """(ca, cb): the components joined by links of wide regions that windows and medoids left out: all pairs of leaves of one region
+    of first depth that lie in different components so far (``named``: id, n, heads, component). A region is dealt into blocks and
+    every two blocks meet in a task; blocks of one large component do not meet each other, and a region with one component is done."""
+    tile, load = tile or TILE, load or ITEMS
     held = settle(rows.join(wide.select("region"), "region", "left_semi").join(named, "id"))
-    counts = settle(held.groupBy("region", "component").agg(F.count(F.lit(1)).alias("c")))
+    counts = settle(held.groupBy("region", "component").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("load")))
     mixed = counts.groupBy("region").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("region")
     group = F.when(F.col("c") > tile, F.col("component").cast("string")).otherwise("")
     counts = settle(counts.join(mixed, "region").withColumn("group", group))
     if counts.isEmpty():
         return None
-    parts = counts.groupBy("region", "group").agg(F.ceil(F.sum("c") / tile).cast("int").alias("parts"))
+    parts = counts.groupBy("region", "group").agg(F.greatest(F.ceil(F.sum("c") / tile), F.ceil(F.sum("load") / load)).cast("int").alias("parts"))
     held = settle(held.join(counts.select("region", "component", "group"), ["region", "component"]).join(parts, ["region", "group"])
                   .select("region", F.struct("group", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")).alias("block"),
-                          "id", "label", "component"))
+                          "id", "label", "component", "heads"))
     blocks = parts.select("region", F.explode(F.transform(
         F.sequence(F.lit(0), F.col("parts") - 1), lambda n: F.struct(F.col("group"), n.alias("part")))).alias("x"))
     meet = blocks.join(blocks.withColumnRenamed("x", "y"), "region").filter(
@@ -324,36 +373,54 @@ def remainder(docs: DataFrame, rows: DataFrame, wide: DataFrame, named: DataFram
              .unionByName(meet.filter("x <> y").select("region", "x", "y", F.col("y").alias("block"), F.lit(1).alias("side"))))
     fine = fine_sketches(docs, settle(held.select("id").distinct()), id_col, text, width)
 
-    def run(table: pa.Table) -> pa.Table:
-        side = table["side"].to_numpy()
-        wholes = (np.frombuffer(b"".join(table["label"].to_pylist()), np.uint8).reshape(-1, PLACES),
-                  np.frombuffer(b"".join(table["fine"].to_pylist()), np.uint8).reshape(-1, BINS),
-                  table["id"].to_numpy(), table["component"].to_numpy(), table["size"].to_numpy())
-        left = [v[side == 0] for v in wholes]
-        right = [v[side == 1] for v in wholes] if table["paired"][0].as_py() else None
-        a, b, turn = tile_pairs(left, right, similar)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "turn": pa.array(turn, pa.int64())})
+    def pairs(table: pa.Table):
+        block, order = block_of(table)
+        left, right = (np.flatnonzero(table["side"].to_numpy() == k) for k in (0, 1))
+        paired = table["paired"][0].as_py()
+        x, y, same = tile_pairs(block.at(left), block.at(right) if paired else None, order, similar)
+        return left[x], (right if paired else left)[y], same
+
+    def ask(table: pa.Table) -> pa.Table:
+        x, y, _ = pairs(table)
+        return table.take(pa.array(np.unique(np.append(x, y)))).select(columns)
+
+    def check(table: pa.Table) -> pa.Table:
+        x, y, same = pairs(table)
+        best = np.argsort(-same, kind="stable")
+        lists = table["items"].combine_chunks()
+        items, first = lists.flatten().to_numpy(), np.append(0, np.cumsum(lists.value_lengths().to_numpy()))
+        found = joining_links(x[best], y[best], table["component"].to_numpy(), items, first, similar)
+        return pa.table([pa.array(v, pa.int64()) for v in found], names=["ca", "cb"])
 
+    columns = ["region", "tile", "side", "paired", "id", "label", "fine", "component", "size", "heads"]
     met = held.join(fine, "id").join(sides, ["region", "block"]).select(
-        "region", "x", "y", "side", (F.col("x") != F.col("y")).alias("paired"), "id", "label", "fine", "component", "size")
-    return met.groupBy("region", "x", "y").applyInArrow(run, "a long, b long, turn long").groupBy("a", "b").agg(F.min("turn").alias("turn"))
+        "region", F.xxhash64("x", "y").alias("tile"), "side", (F.col("x") != F.col("y")).alias("paired"), *columns[4:])
+    asked = settle(met.groupBy("region", "tile").applyInArrow(ask, f"region long, tile long, side int, paired boolean, {LEAF}"))
+    sets = full_sets(docs, settle(asked.select(F.col("id").alias("_id")).distinct()), id_col, text, width)
+    whole = asked.join(sets.withColumnRenamed("_id", "id"), "id").select(*columns, "items")
+    return whole.groupBy("region", "tile").applyInArrow(check, "ca long, cb long").distinct()
 
 
-def links(docs: DataFrame, pairs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH,
-          similar: int = SIMILAR) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough. Sets are made again for the documents in question only."""
+def full_sets(docs: DataFrame, asked: DataFrame, id_col: str, text: str, width: int) -> DataFrame:
+    """(_id, items): the shingle sets of the asked ``_id``."""
     def run(texts: pa.Array) -> pa.Array:
         out = []
         for start in range(0, len(texts), 256):
             out += [s.view(np.int64) for s in shingle_sets(texts.slice(start, 256).to_pylist(), width)]
         return pa.array(out, pa.list_(pa.int64()))
 
-    asked = settle(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct())
-    n_asked = asked.count()
-    asked = F.broadcast(asked) if n_asked <= BROADCAST_IDS else asked
+    asked = F.broadcast(asked) if asked.count() <= BROADCAST_IDS else asked
     found = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")).join(asked, "_id", "left_semi")
     sets = found.select("_id", F.arrow_udf(run, "array<long>").asNondeterministic()("_text").alias("items"))
-    sets = sets.groupBy("_id").agg(F.max_by("items", F.struct(F.size("items"), "items")).alias("items"))
+    return sets.groupBy("_id").agg(F.max_by("items", F.struct(F.size("items"), "items")).alias("items"))
+
+
+def links(docs: DataFrame, pairs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH,
+          similar: int = SIMILAR) -> DataFrame:
+    """The pairs whose full shingle sets are similar enough. Sets are made again for the documents in question only."""
+    asked = settle(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct())
+    n_asked = asked.count()
+    sets = full_sets(docs, asked, id_col, text, width)
     blocks = -(-n_asked // TILE)
     if pairs.count() > n_asked * (blocks + 1):   # a set travels once per pair of blocks instead of once per pair
         return _links_by_block(pairs, sets, blocks, similar)
@@ -364,10 +431,13 @@ def links(docs: DataFrame, pairs: DataFrame, id_col: str = "doc_id", text: str =
     return both.filter(100 * common >= similar * union).select(*pairs.columns)
 
 
-def common_counts(left: np.ndarray, right: np.ndarray, items: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of the sets left[k] and right[k]; set i is items[first[i]:first[i + 1]], never empty. The partners
-    of one set are counted together."""
-    _, number = np.unique(items, return_inverse=True)
+def numbered(items: np.ndarray) -> np.ndarray:
+    return np.unique(items, return_inverse=True)[1]
+
+
+def common_counts(left: np.ndarray, right: np.ndarray, number: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets left[k] and right[k]; set i is number[first[i]:first[i + 1]], never empty, its items
+    ``numbered``. The partners of one set are counted together."""
     mark, out = np.zeros(int(number.max(initial=-1)) + 1, np.int64), np.empty(len(left), np.int64)
     order = np.argsort(left, kind="stable")
     for rows in np.split(order, np.flatnonzero(np.diff(left[order])) + 1):
@@ -400,7 +470,7 @@ def _links_by_block(pairs: DataFrame, sets: DataFrame, blocks: int, similar: int
         lists = right["items"].combine_chunks().take(pa.array(order))
         items, first = lists.flatten().to_numpy(), np.append(0, np.cumsum(lists.value_lengths().to_numpy()))
         x, y = (np.searchsorted(ids, left[c].to_numpy()) for c in ("a", "b"))
-        common = common_counts(x, y, items, first)
+        common = common_counts(x, y, numbered(items), first)
         size = np.diff(first)
         return wanted.filter(pa.array(100 * common >= similar * (size[x] + size[y] - common)))
 
@@ -436,7 +506,11 @@ def joined(docs: DataFrame, pairs: DataFrame, reach: DataFrame | None, id_col: s
     asked = settle(asked)
     if asked.isEmpty():
         return reach
-    found = links(docs, asked, id_col, text, width, similar)
+    return united(links(docs, asked, id_col, text, width, similar), reach)
+
+
+def united(found: DataFrame, reach: DataFrame | None) -> DataFrame:
+    """(id, component) after the links ``found`` between the components ca and cb."""
     new = components(found.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
     if reach is None:
         return new
@@ -463,13 +537,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     pairs, reach = settle(pairs), None
     for turn in (0, 1):
         reach = joined(docs, pairs.filter(F.col("turn") == turn), reach, *rules)
-    so_far = classes.select("id", F.col("id").alias("component")) if reach is None else classes.select("id").join(
-        reach, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+    so_far = classes.select("id", "n", "heads", F.col("id").alias("component")) if reach is None else classes.join(
+        reach, "id", "left").select("id", "n", "heads", F.coalesce("component", "id").alias("component"))
     rest = remainder(docs, forest(classes), wide, so_far, *rules)
     if rest is not None:
-        rest = settle(rest)
-        for turn in (0, 1):
-            reach = joined(docs, rest.filter(F.col("turn") == turn), reach, *rules)
+        reach = united(settle(rest), reach)
     if reach is None:
         reach = classes.select("id", F.col("id").alias("component")).limit(0)
     named = (classes.select("n", "sum", "fold", "id").join(reach, "id", "left")

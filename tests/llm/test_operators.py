@@ -156,6 +156,36 @@ def test_near_dedup_finds_all_pairs_of_a_family(spark):
     assert got == {i: i - n if i >= n else i for i in range(n + pairs)}
 
 
+@pytest.mark.parametrize("tile, load", [(2048, 1 << 21), (32, 1 << 21), (2048, 3000)])
+def test_near_dedup_remainder_gives_links_not_candidates(spark, monkeypatch, tile, load):
+    rnd, n = random.Random(5), 300
+    base = [f"w{k}" for k in range(100)]
+    texts = [edited(base, rnd, i, range(84, 100)) for i in range(n)]               # 80 of 112 shingles in common: plausible
+    texts += [edited(texts[i % 20].split(), rnd, n + i, range(95, 100)) for i in range(60)]  # 91 of 101
+    rows, seen, whole = list(enumerate(texts)), [], near_dedup.remainder
+
+    def watched(*args):
+        seen.append(near_dedup.settle(whole(*args)))
+        return seen[-1]
+
+    monkeypatch.setattr(near_dedup, "remainder", watched)
+    monkeypatch.setattr(near_dedup, "TILE", tile)
+    monkeypatch.setattr(near_dedup, "ITEMS", load, raising=False)
+    got = found_components(spark, rows)
+    assert got == {i: least for i, (_, least, _) in brute_components(rows).items()}
+    assert len(seen) == 1 and seen[0].count() < len(rows)      # 44,850 pairs are plausible
+
+
+def test_joining_links_are_a_forest_of_the_similar_pairs():
+    sets = [set(range(k, k + 20)) for k in range(0, 40, 2)] + [set(range(900, 910))] * 3   # neighbours: 18 of 22
+    items, first = np.array([x for s in sets for x in sorted(s)]), np.append(0, np.cumsum([len(s) for s in sets]))
+    x, y = np.array(list(itertools.combinations(range(len(sets)), 2))).T
+    component = np.array([100 + i for i in range(20)] + [7, 7, 8])
+    a, b = near_dedup.joining_links(x, y, component, items, first)
+    assert sorted(zip(a.tolist(), b.tolist())) == [(7, 8)] + [(100 + i, 101 + i) for i in range(19)]
+    assert [len(v) for v in near_dedup.joining_links(x[:0], y[:0], component, items, first)] == [0, 0]
+
+
 def test_near_dedup_keeps_columns(odd, nothing):
     kept = near_dedup.keep_one(odd)
     assert kept.columns == odd.columns
