@@ -284,7 +284,7 @@ LEAF = "id long, label binary, fine binary, component long, size long, heads arr
 
 def block_of(table: pa.Table) -> tuple[Block, int]:
     """The leaves of a table and the number of their order, which the name of their region tells."""
-    heads = np.array(table["heads"].to_pylist(), np.int64).reshape(-1, ORDERS)
+    heads = table["heads"].combine_chunks().flatten().to_numpy().reshape(-1, ORDERS)
     names = mix(heads[0].view(np.uint64) + np.arange(ORDERS, dtype=np.uint64)).view(np.int64)
     order = int(np.flatnonzero(names == table["region"][0].as_py())[0])
     return Block(np.frombuffer(b"".join(table["label"].to_pylist()), np.uint8).reshape(-1, PLACES),
@@ -298,7 +298,7 @@ def tile_pairs(left: Block, right: Block | None, order: int = 0, similar: int =
     one = right is None
     right = left if one else right
     share, out = similar / 100, []
-    step = max(1, (1 << 25) // (PLACES * max(len(right.size), 1)))
+    step = max(1, (1 << 23) // (PLACES * max(len(right.size), 1)))
     for start in range(0, len(left.size), step):
         stop = min(start + step, len(left.size))
         ask = _agreement(left.label[start:stop, None], right.label[None]) >= PLAUSIBLE
@@ -307,8 +307,8 @@ def tile_pairs(left: Block, right: Block | None, order: int = 0, similar: int =
             ask &= np.arange(len(right.size))[None] > np.arange(start, stop)[:, None]
         i, j = np.nonzero(ask)
         i += start
-        for at in range(0, len(i), 1 << 15):
-            x, y = i[at:at + (1 << 15)], j[at:at + (1 << 15)]
+        for at in range(0, len(i), CHUNK):
+            x, y = i[at:at + CHUNK], j[at:at + CHUNK]
             first = ~(left.heads[x, :order] == right.heads[y, :order]).any(axis=1)
             x, y = x[first], y[first]
             f, g = left.fine[x], right.fine[y]
@@ -557,5 +557,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **rules) -> DataFrame:
     """The rows of ``docs`` whose document stays, columns unchanged."""
-    gone = near_duplicates(docs, id_col, text, **rules).filter("NOT kept").select(F.col("doc_id").alias(id_col))
+    gone = settle(near_duplicates(docs, id_col, text, **rules).filter("NOT kept").select(F.col("doc_id").alias(id_col)))
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone   # the texts stay where they are
     return docs.join(gone, id_col, "left_anti").select(*docs.columns)
