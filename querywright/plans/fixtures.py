@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from querywright.scale import SMALL_SPLIT_BYTES, spread
 from querywright.sources.tables import Tables
 
 # The promise made to customers (days) and the part of lines without a review.
@@ -107,6 +108,11 @@ def with_run_outcome(events: DataFrame) -> DataFrame:
 
 def sql_pairs(t: Tables) -> DataFrame:
     """Predicted and true statements, one pair per order."""
+    return _statements(t.orders).select("question_id", "truth_sql", "pred_sql")
+
+
+def _statements(orders: DataFrame) -> DataFrame:
+    """The pair of every order beside its columns."""
     key = F.col("o_custkey").cast("string")
     truth = F.concat(F.lit("SELECT o_orderstatus, COUNT(*) AS n FROM orders WHERE o_custkey = "), key,
                      F.lit(" GROUP BY o_orderstatus"))
@@ -120,8 +126,8 @@ def sql_pairs(t: Tables) -> DataFrame:
                 F.lit("SELECT o.o_orderstatus, COUNT(*) AS n FROM customer c JOIN orders o "
                       "ON c.c_custkey = o.o_custkey WHERE c.c_custkey = "), F.col("_key"),
                 F.lit(" GROUP BY o.o_orderstatus"))))
-    return (t.orders.select(F.col("o_orderkey").alias("question_id"), key.alias("_key"), truth.alias("truth_sql"))
-            .select("question_id", "truth_sql", pred.alias("pred_sql")))
+    return (orders.select("*", F.col("o_orderkey").alias("question_id"), key.alias("_key"), truth.alias("truth_sql"))
+            .select("*", pred.alias("pred_sql")))
 
 
 def responses(t: Tables) -> DataFrame:
@@ -162,7 +168,7 @@ def qa_pairs(t: Tables) -> DataFrame:
 def raw_pairs(t: Tables) -> DataFrame:
     """Question/SQL records to validate, one per order, with the defects the checks look for.
     The question quotes a document; the schema context is text, a JSON object or malformed."""
-    k = F.col("question_id")
+    k, order = F.col("question_id"), F.col("o_orderkey")
     docs = t.documents.select("doc_id", F.col("text").alias("_doc"))
     n_docs = t.documents.agg((F.max("doc_id") + 1).alias("n")).scalar()
     question = (F.when(k % 17 == 0, F.lit(None).cast("string"))
@@ -183,10 +189,12 @@ def raw_pairs(t: Tables) -> DataFrame:
                .when(k % 7 == 4, F.lit('{"relevant_tables": ["orders", "customer"], "relevant_columns": "x"}'))
                .when(k % 7 == 5, F.lit("42")))
     category = F.when(k % 2 == 0, F.lit("customer_analysis")).otherwise(F.lit("payment_analysis"))
-    base = (sql_pairs(t).withColumn("_cust", F.regexp_extract("truth_sql", r"o_custkey = (\d+)", 1))
-            # rows that quote no document get a key of their own, so that they do not meet in one task
-            .withColumn("_slot", F.when(k % 13 == 0, k % n_docs).otherwise(-1 - k)))
-    return (base.join(docs, F.col("_slot") == F.col("doc_id"), "left")
+    # only the keys of orders that quote a document meet the texts; the merge lays rows with one text side by side
+    orders, quotes = spread(t.orders.select("o_orderkey", "o_custkey"), SMALL_SPLIT_BYTES), F.coalesce(order % 13 == 0, F.lit(False))
+    quoting = orders.filter(quotes).withColumn("_slot", order % n_docs)
+    quoting = quoting.join(docs.hint("merge"), F.col("_slot") == F.col("doc_id"), "left").select("o_orderkey", "o_custkey", "_doc")
+    others = orders.filter(~quotes).withColumn("_doc", F.lit(None).cast("string"))
+    return (_statements(others.unionByName(quoting)).withColumn("_cust", F.regexp_extract("truth_sql", r"o_custkey = (\d+)", 1))
             .select(k.alias("pair_id"), question.alias("question"), sql.alias("sql"),
                     context.alias("schema_context"), category.alias("category")))
 

@@ -15,15 +15,15 @@ from querywright.sources.jsonarray import write_json_array
 from querywright.streaming import history
 
 
-def written_pairs(t, kind):
-    """Pairs written in a format and loaded back."""
-    folder = history.work_folder(t.spark, f"pairs-{kind}") + f"/pairs.{kind}"
+def written_pairs(t, kind, root=None):
+    """Pairs written in a format, packed, and loaded back."""
+    folder = (root or history.work_folder(t.spark, f"pairs-{kind}")) + f"/pairs.{kind}"
     rows = raw_pairs(t).select("question", "sql", "schema_context", "category", F.lit(None).cast("string").alias("complexity"))
-    writer = rows.write.mode("overwrite")
+    writer = rows.write.mode("overwrite").option("compression", "gzip")
     if kind == "csv":
         writer.options(header="true", escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(folder)
     elif kind == "json":
-        write_json_array(rows, folder)
+        write_json_array(rows, folder, "gzip")
     else:
         writer.json(folder)
     return pairs.load_pairs(t.spark, folder)
@@ -39,11 +39,16 @@ def src01(t):
 
 
 def src04(t):
-    """Every suffix, one that is not supported and a missing file, side by side."""
-    frames = {kind: written_pairs(t, kind) for kind in ("json", "jsonl", "csv")}
-    frames["xml"] = pairs.load_pairs(t.spark, f"{t.folder}/documents.xml")
-    frames["missing"] = pairs.load_pairs(t.spark, f"{t.folder}/no such file.json")
-    return union_all([loaded_summary(df).withColumn("kind", F.lit(kind)) for kind, df in frames.items()])
+    """Every suffix, one that is not supported and a missing file, side by side. The pairs of one format are loaded and summed up
+    before the next format is written, and go then, so that the disk holds them once."""
+    found = {}
+    for kind in ("json", "jsonl", "csv"):
+        root = history.work_folder(t.spark, f"pairs-{kind}")
+        found[kind] = history.stored(loaded_summary(written_pairs(t, kind, root)), f"summary-{kind}")
+        sinks.drop_folder(t.spark, root)
+    found["xml"] = loaded_summary(pairs.load_pairs(t.spark, f"{t.folder}/documents.xml"))
+    found["missing"] = loaded_summary(pairs.load_pairs(t.spark, f"{t.folder}/no such file.json"))
+    return union_all([df.withColumn("kind", F.lit(kind)) for kind, df in found.items()])
 
 
 def src02(t):

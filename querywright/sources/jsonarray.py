@@ -5,10 +5,14 @@ moves the nesting depth, both if it begins outside a text and if it begins insid
 (a few numbers each) tell how each range really begins. A second pass cuts out the records: a range owns those that begin
 behind a ``[`` or ``,`` of its own on the first level, and reads on past its end to finish the last one. Brackets, quotes and
 backslashes are single bytes in UTF-8, so a border inside a letter does no harm.
+
+A packed file (gzip, bzip2) can be read from its beginning only: it is one range, which a task takes in pieces in one pass.
 """
 
 import re
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -18,6 +22,8 @@ from pyspark.sql import functions as F
 
 RANGE_BYTES = 32 << 20
 READ_ON = 1 << 16
+PIECE_BYTES = 1 << 20  # of a packed file, as unpacked
+PACKED = (".gz", ".bz2")
 _ESCAPED = re.compile(rb"\\.", re.S)
 _OPEN, _CLOSE = np.isin(np.arange(256), list(b"[{")), np.isin(np.arange(256), list(b"]}"))
 _MARK = np.isin(np.arange(256), list(b'"[]{},'))
@@ -31,13 +37,22 @@ def opens(path: str) -> bool:
     return scheme in SCHEMES
 
 
-def _open(path: str):
+def _place(path: str):
     if path.startswith("file:") or path.startswith("/"):
-        return fs.LocalFileSystem().open_input_file("/" + path.removeprefix("file:").lstrip("/"))
-    system, inner = fs.FileSystem.from_uri(path)
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path)
+
+
+def _open(path: str):
+    system, inner = _place(path)
     return system.open_input_file(inner)
 
 
+def _unpacked(path: str):
+    system, inner = _place(path)
+    return system.open_input_stream(inner, compression="detect")
+
+
 def _read(file, start: int, end: int) -> bytes:
     return file.read_at(end - start, start)
 
@@ -82,6 +97,9 @@ def _is_array(file) -> bool:
 def _moves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for r in batch.itertuples():
+            if r.path.endswith(PACKED):  # has no range behind it
+                yield pd.DataFrame({"path": [r.path], "start": [r.start], "end": [r.end], "odd": [0], "outside": [0], "inside": [0]})
+                continue
             with _open(r.path) as file:
                 plain = _plain(file, r.start, r.end)
             marks = _marks(plain)[1]
@@ -101,9 +119,46 @@ def _borders(plain: bytes, inside: bool, depth: int):
     return at[hit], bool(not outside[-1]), int(level[-1])
 
 
+def _texts(pieces) -> pd.DataFrame:
+    return pd.DataFrame({"json": [t for t in (p.decode("utf-8", "replace") for p in pieces) if t.strip()]}, dtype=str)
+
+
+def _elements(stream) -> Iterator[list[bytes]]:
+    """The elements of a stream's array, some at a time; a task holds one piece and one element."""
+    data = stream.read(PIECE_BYTES)
+    head = data.removeprefix(b"\xef\xbb\xbf").lstrip()
+    while not head and (more := stream.read(PIECE_BYTES)):
+        data, head = more, more.lstrip()
+    if not head.startswith(b"["):
+        yield [b"".join([head, *iter(lambda: stream.read(PIECE_BYTES), b"")])]
+        return
+    inside, depth, held, half = False, 0, None, b""
+    while data:
+        data, plain = half + data, _ESCAPED.sub(b"__", half + data)
+        half = data[-1:] if plain.endswith(b"\\") else b""  # an escape that is cut waits for its other byte
+        if half:
+            data, plain = data[:-1], plain[:-1]
+        cuts, inside, depth = _borders(plain, inside, depth)
+        cuts = cuts.tolist()
+        if cuts:
+            first = [b"".join([*held, data[:cuts[0]]])] if held is not None else []
+            yield first + [data[a + 1:b] for a, b in zip(cuts, cuts[1:]) if plain[a] != 93]
+            held = [data[cuts[-1] + 1:]] if plain[cuts[-1]] != 93 else None
+        elif held is not None:
+            held.append(data)
+        data = stream.read(PIECE_BYTES)
+    if held is not None:
+        yield [b"".join([*held, half])]
+
+
 def _records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for r in batch.itertuples():
+            if r.path.endswith(PACKED):
+                with _unpacked(r.path) as stream:
+                    for pieces in _elements(stream):
+                        yield _texts(pieces)
+                continue
             with _open(r.path) as file:
                 if not _is_array(file):
                     if r.start == 0:
@@ -126,24 +181,26 @@ def _records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         last.append(_read(file, at, stop))
                         at = stop
                     pieces.append(b"".join(last))
-                texts = [t for t in (p.decode("utf-8", "replace") for p in pieces) if t.strip()]
-                yield pd.DataFrame({"json": texts}, dtype=str)
+                yield _texts(pieces)
 
 
 def array_records(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(json): one text per element of the arrays in the files of ``path``. Empty arrays and files have none. A file that is no
-    array is one element, and an array that is cut off keeps its last piece. A task holds one range and one element."""
+    array is one element, and an array that is cut off keeps its last piece. A task holds one range and one element, or of a
+    packed file one piece and one element."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "[!_.]*").load(path).select("path", "length").filter("length > 0")
-    ranges = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(range_bytes).cast("long")))
-                          .alias("start")).select("path", "start", F.least("length", F.col("start") + range_bytes).alias("end"))
-    # the ranges of one listing task are spread over all tasks
-    spread = ranges.repartition("path", "start")
-    moves = spread.mapInPandas(_moves, "path string, start long, end long, odd int, outside long, inside long")
+    packed = reduce(or_, [F.col("path").endswith(x) for x in PACKED])
+    files = files.withColumn("step", F.when(packed, F.col("length")).otherwise(F.lit(range_bytes)).cast("long"))
+    ranges = files.select("path", "length", "step", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.col("step")))
+                          .alias("start")).select("path", "start", F.least("length", F.col("start") + F.col("step")).alias("end"))
+    # the ranges of one listing task are spread over all tasks; by number, since a range is a short row that stands for much work
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    moves = ranges.repartition(tasks).mapInPandas(_moves, "path string, start long, end long, odd int, outside long, inside long")
     before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     begun = moves.withColumn("begins_inside", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2)
     moved = F.when(F.col("begins_inside") == 0, F.col("outside")).otherwise(F.col("inside"))
     begun = begun.withColumn("_moved", moved).withColumn("depth", F.coalesce(F.sum("_moved").over(before), F.lit(0)))
-    return (begun.select("path", "start", "end", "begins_inside", "depth").repartition("path", "start")
+    return (begun.select("path", "start", "end", "begins_inside", "depth").repartition(tasks)
             .mapInPandas(_records, "json string"))
 
 
@@ -154,8 +211,9 @@ def read_json_array(spark: SparkSession, path: str, schema: str, corrupt: str =
     return array_records(spark, path, range_bytes).select(row.alias("r")).select("r.*")
 
 
-def write_json_array(df: DataFrame, folder: str) -> None:
-    """Every file holds one array, an element per line; files are written as the rows come."""
+def write_json_array(df: DataFrame, folder: str, compression: str = "none") -> None:
+    """Every file holds one array, an element per line; files are written as the rows come. With gzip or bzip2 a file takes a
+    small part of the disk, and one task to read it."""
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"value": ["["]})
         first = True
@@ -167,4 +225,5 @@ def write_json_array(df: DataFrame, folder: str) -> None:
                 yield pd.DataFrame({"value": values})
         yield pd.DataFrame({"value": ["]"]})
 
-    df.select(F.to_json(F.struct("*")).alias("value")).mapInPandas(lines, "value string").write.mode("overwrite").text(folder)
+    (df.select(F.to_json(F.struct("*")).alias("value")).mapInPandas(lines, "value string").write.mode("overwrite")
+     .text(folder, compression=compression))

@@ -8,6 +8,12 @@ from querywright.operators.clean import clean_catalog
 from querywright.scale import estimated_bytes
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a work folder that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def write_splits(df: DataFrame, folder: str, column: str = "split") -> None:
     """JSON lines under one folder per split."""
     df.write.mode("overwrite").partitionBy(column).json(folder)
